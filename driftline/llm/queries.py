@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunked_bpe, packing, token_counts
+from . import chunked_bpe, exact_dedup, packing, token_counts, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_chunk_reuse": chunked_bpe.op1_bpe_chunk_reuse,
+        "op4_threshold_top_k": topk.op4_threshold_top_k,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op7_token_counts": token_counts.op7_token_counts,
+        "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_threshold_top_k": topk.OP4_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL}
