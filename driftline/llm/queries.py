@@ -6,18 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunked_bpe, exact_dedup, packing, token_counts, topk
+from . import chunked_bpe, exact_dedup, packing, token_counts, topk, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_chunk_reuse": chunked_bpe.op1_bpe_chunk_reuse,
+        "op2_toxicity_cnn": toxicity.op2_toxicity_cnn,
         "op4_threshold_top_k": topk.op4_threshold_top_k,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op7_token_counts": token_counts.op7_token_counts,
+        "op8_url_templates": urls.op8_url_templates,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_threshold_top_k": topk.OP4_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL}
+    return {"op4_threshold_top_k": topk.OP4_SQL, "op8_url_templates": urls.OP8_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL}

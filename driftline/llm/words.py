@@ -41,8 +41,11 @@ def _powers(n: int) -> np.ndarray:
     return _POW
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of texts raw[offsets[i]:offsets[i+1]]: hash, start and end of each word, and the number of the first word of each text."""
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE, prefixes: tuple[int, ...] = ()) -> tuple:
+    """Of texts raw[offsets[i]:offsets[i+1]]: hash, start and end of each word, and the number of the first word of each text.
+
+    With ``prefixes`` also a list with the hashes of so many leading bytes of each word.
+    """
     n = len(raw)
     gap = space[raw]
     edge = np.zeros(n + 1, bool)
@@ -51,7 +54,8 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE)
     before = np.concatenate([[False], word[:-1]]) if n else word
     starts = np.flatnonzero(word & (~before | edge[:n]))
     if not len(starts):
-        return np.zeros(0, np.uint64), starts, starts, np.zeros(len(offsets), np.int64)
+        none = np.zeros(0, np.uint64)
+        return (none, starts, starts, np.zeros(len(offsets), np.int64)) + (([none] * len(prefixes),) if prefixes else ())
     after = np.concatenate([word[1:], [False]])
     ends = np.flatnonzero(word & (~after | edge[1:])) + 1
     sizes = ends - starts
@@ -60,7 +64,10 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE)
     place = np.arange(len(at)) - np.repeat(first, sizes)
     value = LETTERS[raw[at]] * _powers(int(sizes.max()))[place]
     hashes = mix(np.add.reduceat(value, first) + sizes.astype(np.uint64))
-    return hashes, starts, ends, np.searchsorted(starts, offsets)
+    out = (hashes, starts, ends, np.searchsorted(starts, offsets))
+    if prefixes:
+        out += ([mix(np.add.reduceat(np.where(place < k, value, 0), first) + np.uint64(1000 + k)) for k in prefixes],)
+    return out
 
 
 def blocks(col: pa.Array, most: int = BLOCK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
