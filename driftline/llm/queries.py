@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunked_bpe, exact_dedup, packing, token_counts, topk, toxicity, urls
+from . import chunked_bpe, exact_dedup, jaccard_join, packing, token_counts, topk, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_chunk_reuse": chunked_bpe.op1_bpe_chunk_reuse,
         "op2_toxicity_cnn": toxicity.op2_toxicity_cnn,
+        "op3_jaccard_join": jaccard_join.op3_jaccard_join,
         "op4_threshold_top_k": topk.op4_threshold_top_k,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op7_token_counts": token_counts.op7_token_counts,
