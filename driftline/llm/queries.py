@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunked_bpe, exact_dedup, jaccard_join, packing, token_counts, topk, toxicity, urls
+from . import chunked_bpe, exact_dedup, jaccard_join, packing, quality, substring_dedup, token_counts, topk, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,8 +16,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_jaccard_join": jaccard_join.op3_jaccard_join,
         "op4_threshold_top_k": topk.op4_threshold_top_k,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
+        "op6_quality_bayes": quality.op6_quality_bayes,
         "op7_token_counts": token_counts.op7_token_counts,
         "op8_url_templates": urls.op8_url_templates,
+        "op9_paragraph_minhash": substring_dedup.op9_paragraph_minhash,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
 
