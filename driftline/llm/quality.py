@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common, words
 
@@ -97,7 +98,7 @@ def _measured(docs: DataFrame, text_col: str, rest: Sequence[str]) -> DataFrame:
             got = [r for x in measures(b.column(len(rest))) for r in x]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(rest))), pa.array(got, pa.list_(pa.float64()))], [*rest, "x"])
 
-    return docs.select(*rest, text_col).mapInArrow(run, docs.select(*rest).schema.add("x", "array<double>"))
+    return docs.select(*rest, text_col).mapInArrow(run, docs.select(*rest).schema.add("x", T.ArrayType(T.DoubleType())))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int = SAMPLE) -> Evidence:

@@ -29,7 +29,7 @@ from . import common, graph, words
 
 RADIUS = 6
 K = 5
-MIN_WORDS = 20
+MIN_WORDS = 15
 RECALL = 0.95
 _TOP = np.uint64(2**64 - 1)
 
