@@ -56,8 +56,10 @@ def templates(judged: DataFrame) -> DataFrame:
         kids = tree.groupBy(*key, *up, seg).agg(F.sum("n").alias("kn")).groupBy(*key, *up).agg(F.count(seg).alias("kids"), F.sum("kn").alias("urls"))
         wide = (F.col("kids") > MANY) | ((F.col("kids") >= FEW) & (F.col("kids") * 2 > F.col("urls")))
         tree = tree.join(kids.select(*key, *up, wide.alias("wide")), [*key, *up]).withColumn(f"t{d}", F.when((F.col(seg) != "") & F.col("wide"), "*").otherwise(F.col(seg))).drop("wide")
+        tree = common.written(tree, "tree")  # each level is used twice: without this the plan doubles with every one
     total = judged.agg(((F.sum("blk") + 1) / (F.sum("lab") + 2)).alias("p0"))
     hosts = judged.groupBy("host").agg(F.sum("lab").alias("hl"), F.sum("blk").alias("hb")).crossJoin(F.broadcast(total)).select("host", ((F.col("hb") + WEIGHT * F.col("p0")) / (F.col("hl") + WEIGHT)).alias("ph"))
+    hosts = common.written(hosts, "hosts")
     out = tree.withColumn("reject", F.lit(False))
     for d in range(1, DEPTH + 1):
         up, own = [f"t{k}" for k in range(1, d)], f"t{d}"
