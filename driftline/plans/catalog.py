@@ -1,15 +1,556 @@
-"""Every query of the library by name, and the SQL that gives the same rows."""
+"""Every query of the library by name, and the SQL that gives the same rows.
+
+Thresholds are scaled to the driver's sparse tables; the operators' defaults are the usual ones.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from driftline.functions import geo, names, text, time
+from driftline.operators import activity, cube, edits, explore, finalize, screens
+from driftline.plans import bindings as b
+from driftline.schemas import ASPECTS, COUNTERS, TAG_COUNTERS, TAG_KEYS
+from driftline.streaming import incremental
+
+Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+BURST, OBJECTS = 1, 2
+SPREAD = {"edits": 2, "distinct": 2, "budget": 20.0}
+FIRST, LAST = 9_500, 10_500
+
+
+def query(sql: str | None, *ctes: str):
+    def put(f):
+        Q[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + sql
+        return f
+
+    return put
+
+
+def _minutes(s, d):
+    return edits.minute_counts(b.edits(s, d))
+
+
+def _cells(s, d):
+    e = b.edits(s, d)
+    ways = e.where("kind = 1").select(F.col("id").alias("way"), "version", "uid", "minute", "cell", "visible")
+    return edits.cell_counts(e.where("kind = 0"), ways)
+
+
+def _keys(s, d):
+    e = b.edits(s, d).withColumn("tags", F.array(F.struct(F.col("key").alias("k"), F.lit("yes").alias("v"))))
+    return edits.key_counts(e)
+
+
+def _joined(df: DataFrame, *cols: str) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.array_join(c, ","))
+    return df
+
+
+BURSTS = f"""hours AS (SELECT uid, minute, sum(n) OVER (PARTITION BY uid ORDER BY minute RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS hour FROM minutes),
+bursts AS (SELECT uid, CAST(minute // 1440 AS INTEGER) AS day, CAST(max(hour) AS BIGINT) AS max_edits_per_hour, 1 AS flag FROM hours WHERE hour > {BURST} GROUP BY ALL)"""
+
+
+@query("SELECT * FROM bursts", b.EDITS, b.MINUTES, BURSTS)
+def burst_days(s, d):
+    return screens.burst_days(_minutes(s, d), BURST)
+
+
+@query("SELECT uid, minute, n FROM minutes", b.EDITS, b.MINUTES)
+def minute_counts(s, d):
+    return _minutes(s, d)
+
+
+@query("SELECT uid, minute, CAST(hour AS BIGINT) AS hour FROM hours", b.EDITS, b.MINUTES, BURSTS)
+def trailing_hours(s, d):
+    from driftline.operators.windows import trailing_sum
+
+    return trailing_sum(_minutes(s, d)).select("uid", "minute", "hour")
+
+
+@query("SELECT * FROM cells", b.EDITS, b.CELLS)
+def cell_counts(s, d):
+    return _cells(s, d)
+
+
+@query("SELECT * FROM keys", b.EDITS, b.KEYS)
+def tag_counts(s, d):
+    return _keys(s, d)
+
+
+@query("SELECT CASE WHEN NOT visible THEN 'deleted' WHEN version = 1 THEN 'created' ELSE 'modified' END AS change, kind, count(*) AS n FROM edits GROUP BY ALL", b.EDITS)
+def change_classes(s, d):
+    return b.edits(s, d).groupBy(edits.change().alias("change"), "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+SPREADS = f"""both_ AS (SELECT uid FROM cells INTERSECT SELECT uid FROM minutes),
+grid AS (SELECT DISTINCT uid, minute FROM (SELECT uid, minute FROM cells UNION ALL SELECT uid, minute FROM minutes) WHERE uid IN (SELECT uid FROM both_)),
+spans AS (SELECT g.uid, g.minute,
+    (SELECT coalesce(sum(m.n), 0) FROM minutes m WHERE m.uid = g.uid AND m.minute BETWEEN g.minute - 59 AND g.minute) AS edits,
+    (SELECT count(DISTINCT c.cell) FROM cells c WHERE c.uid = g.uid AND c.minute BETWEEN g.minute - 59 AND g.minute) AS cells FROM grid g),
+spreads AS (SELECT uid, CAST(minute // 1440 AS INTEGER) AS day, max(cells * {b.KM2}) AS spread_km2, 8 AS flag FROM spans
+  WHERE edits >= {SPREAD['edits']} AND cells >= {SPREAD['distinct']} AND cells * {b.KM2} >= {SPREAD['budget']} GROUP BY ALL)"""
+
+
+@query("SELECT uid, day, CAST(spread_km2 AS DOUBLE) AS spread_km2, flag FROM spreads", b.EDITS, b.MINUTES, b.CELLS, SPREADS)
+def spread_days(s, d):
+    return screens.spread_days(_cells(s, d), _minutes(s, d), b.KM2, **SPREAD)
+
+
+@query("SELECT uid, minute, CAST(edits AS BIGINT) AS edits, CAST(cells AS BIGINT) AS cells FROM spans", b.EDITS, b.MINUTES, b.CELLS, SPREADS)
+def spread_minutes(s, d):
+    return screens.spread_minutes(_cells(s, d), _minutes(s, d), b.KM2, **SPREAD).select("uid", "minute", "edits", "cells")
+
+
+COVERS = f"""grid5 AS (SELECT uid, minute, sum(n) AS n FROM (SELECT uid, minute, n FROM minutes WHERE uid IN (SELECT uid FROM keys) UNION ALL SELECT uid, minute, 0 FROM keys WHERE uid IN (SELECT uid FROM minutes)) GROUP BY ALL),
+tot5 AS (SELECT uid, minute, sum(n) OVER (PARTITION BY uid ORDER BY minute RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS total FROM grid5),
+share5 AS (SELECT t.uid, t.minute, t.total, k.key, sum(k.n) AS n FROM tot5 t JOIN keys k ON k.uid = t.uid AND k.minute BETWEEN t.minute - 59 AND t.minute WHERE t.total >= {OBJECTS} GROUP BY ALL HAVING sum(k.n) > 0.9 * t.total),
+covers AS (SELECT uid, CAST(minute // 1440 AS INTEGER) AS day, list_sort(list(DISTINCT key)) AS changed_keys, 16 AS flag FROM share5 GROUP BY ALL)"""
+
+
+@query("SELECT uid, day, array_to_string(changed_keys, ',') AS changed_keys, flag FROM covers", b.EDITS, b.MINUTES, b.KEYS, COVERS)
+def coverage_days(s, d):
+    return _joined(screens.coverage_days(_keys(s, d), _minutes(s, d), objects=OBJECTS), "changed_keys")
+
+
+MOVES = "movedays AS (SELECT uid, CAST(minute // 1440 AS INTEGER) AS day, count(*) AS far_move_count, max(meters) AS max_move_meters, 2 AS flag FROM moves GROUP BY ALL)"
+
+
+def _moves(s, d):
+    return screens.move_days(screens.far_moves(b.steps(s, d), b.FAR))
+
+
+@query("SELECT * FROM movedays", b.EDITS, b.STEPS, MOVES)
+def move_days(s, d):
+    return _moves(s, d)
+
+
+LANGDAYS = """langdays AS (SELECT uid, day, CAST(sum(n) AS BIGINT) AS name_lang_events, arg_min(lang, (-n, lang)) AS primary_lang, max(n) AS primary_count, 32 AS flag FROM langs GROUP BY uid, day)"""
+
+
+def _langs(s, d):
+    return screens.language_counts(screens.language_events(b.tagged(s, d)))
+
+
+@query("SELECT * FROM langs", b.TAGGED)
+def language_counts(s, d):
+    return _langs(s, d)
+
+
+@query("SELECT * FROM langdays", b.TAGGED, LANGDAYS)
+def lang_days(s, d):
+    return screens.language_days(_langs(s, d))
+
+
+def _sql_counters() -> str:
+    cols = [f"count(*) FILTER (WHERE kind = {i} AND {cond}) AS {k}_{c}" for i, k in enumerate(("node", "way", "relation")) for c, cond in (("created", "visible AND version = 1"), ("modified", "visible AND version <> 1"), ("deleted", "NOT visible"))]
+    return ", ".join([*cols, *(f"count(*) FILTER (WHERE visible AND version = 1 AND key = '{k}') AS tag_{k}" for k in TAG_KEYS)])
+
+
+_NINE = " + ".join(COUNTERS[:9])
+DAYS = f"days AS (SELECT uid, day, coalesce(arg_min(username, ord) FILTER (WHERE username <> ''), '') AS username, {_sql_counters()} FROM versions GROUP BY uid, day)"
+TOTALS = f"""totals AS (SELECT uid, coalesce(arg_max(username, day) FILTER (WHERE username <> ''), '<' || uid || '>') AS username, min(day) AS first_seen_day, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in COUNTERS)} FROM days GROUP BY uid)"""
+
+
+@query("SELECT * FROM days", b.VERSIONS, DAYS)
+def user_day_activity(s, d):
+    return activity.user_days(b.versions(s, d))
+
+
+@query(f"SELECT uid, day AS change_date, CAST({_NINE} AS BIGINT) AS count, 0 AS suspect_flag FROM days", b.VERSIONS, DAYS)
+def user_history(s, d):
+    return activity.history(activity.user_days(b.versions(s, d)))
+
+
+@query("SELECT * FROM totals", b.VERSIONS, DAYS, TOTALS)
+def user_totals(s, d):
+    return activity.totals(activity.user_days(b.versions(s, d)))
+
+
+def _aspect(a: str) -> str:
+    return a if a.startswith("tag_") else f"{a}_created"
+
+
+ASPECT = "aspects AS (" + " UNION ALL ".join(f"SELECT uid, '{a}' AS aspect, {_aspect(a)} AS total FROM totals" for a in ASPECTS) + ")"
+PCT = """pcts AS (SELECT uid, aspect, total, CASE WHEN total = 0 THEN 0.0 ELSE (SELECT CASE WHEN count(*) = 1 THEN 100.0 ELSE 100.0 * count(*) FILTER (WHERE o.total < a.total) / (count(*) - 1) END FROM aspects o WHERE o.aspect = a.aspect AND o.total > 0) END AS pct FROM aspects a)"""
+RANKED = "ranked AS (SELECT uid, CAST(greatest(0, least(100, round(sum(pct * CASE aspect WHEN 'node' THEN 20 WHEN 'way' THEN 20 WHEN 'relation' THEN 12 ELSE 4 END / 100)))) AS INTEGER) AS ranking FROM pcts GROUP BY uid)"
+
+
+def _totals(s, d):
+    return activity.totals(activity.user_days(b.versions(s, d)))
+
+
+@query("SELECT uid, aspect, total, round(pct, 6) AS pct FROM pcts", b.VERSIONS, DAYS, TOTALS, ASPECT, PCT)
+def ranking_pct(s, d):
+    return activity.percentiles(activity.aspect_rows(_totals(s, d))).withColumn("pct", F.round("pct", 6))
+
+
+@query("SELECT * FROM ranked", b.VERSIONS, DAYS, TOTALS, ASPECT, PCT, RANKED)
+def ranking_score(s, d):
+    return activity.ranking(_totals(s, d)).select("uid", "ranking")
+
+
+@query("SELECT aspect, count(*) FILTER (WHERE total > 0) AS active, max(total) AS most FROM aspects GROUP BY aspect", b.VERSIONS, DAYS, TOTALS, ASPECT)
+def ranking_stats(s, d):
+    return activity.ranking_stats(_totals(s, d))
+
+
+HALF = f"""h0 AS (SELECT uid, day AS change_date, CAST({_NINE} AS BIGINT) AS count, CASE WHEN uid % 5 = 0 THEN 1 ELSE 0 END AS suspect_flag FROM days WHERE day % 2 = 0 OR uid % 3 = 0),
+h1 AS (SELECT uid, day AS change_date, CAST({_NINE} AS BIGINT) AS count FROM days WHERE day % 2 = 1 OR uid % 4 = 0),
+merged AS (SELECT uid, change_date, CAST(coalesce(h0.count, 0) + coalesce(h1.count, 0) AS BIGINT) AS count, coalesce(suspect_flag, 0) AS suspect_flag, h0.count IS NOT NULL AS from_base FROM h0 FULL JOIN h1 USING (uid, change_date))"""
+
+
+def _merged(s, d):
+    days = activity.user_days(b.versions(s, d))
+    old = activity.history(days.where("day % 2 = 0 or uid % 3 = 0")).withColumn("suspect_flag", F.when(F.col("uid") % 5 == 0, 1).otherwise(0))
+    return finalize.history_merge(old, activity.history(days.where("day % 2 = 1 or uid % 4 = 0")))
+
+
+@query("SELECT * FROM merged", b.VERSIONS, DAYS, HALF)
+def history_merge(s, d):
+    return _merged(s, d)
+
+
+@query(f"SELECT uid, change_date, CASE WHEN NOT from_base AND coalesce(ranking, 0) < {activity.LOW} THEN suspect_flag | 4 ELSE suspect_flag END AS suspect_flag FROM merged LEFT JOIN ranked USING (uid)", b.VERSIONS, DAYS, TOTALS, ASPECT, PCT, RANKED, HALF)
+def low_rank_new_rows(s, d):
+    flag = F.when(~F.col("from_base") & (F.coalesce("ranking", F.lit(0)) < activity.LOW), F.col("suspect_flag").bitwiseOR(F.lit(text.LOW_RANK))).otherwise(F.col("suspect_flag"))
+    return _merged(s, d).join(activity.ranking(_totals(s, d)).select("uid", "ranking"), "uid", "left").select("uid", "change_date", flag.alias("suspect_flag"))
+
+
+EXPORT = """base_ AS (SELECT uid, day AS change_date, count(*) AS count, 0 AS suspect_flag, day < 19730 AS from_base FROM edits GROUP BY ALL),
+users AS (SELECT uid, 'user' || uid AS username, CAST(uid % 12 AS INTEGER) AS ranking FROM (SELECT DISTINCT uid FROM edits) WHERE uid % 17 <> 0),
+prev AS (SELECT uid, day AS change_date, CAST(7 AS BIGINT) AS far_move_count, CAST(900 AS BIGINT) AS max_move_meters, 3 AS ranking_at_day FROM (SELECT DISTINCT uid, day FROM edits) WHERE day < 19725 AND uid % 2 = 0),
+iso AS (SELECT uid, day AS change_date, list_sort(list(DISTINCT iso)) AS countries FROM (SELECT DISTINCT uid, CAST(minute // 1440 AS INTEGER) AS day, cell FROM cells) JOIN places USING (cell) GROUP BY ALL),
+joined_ AS (SELECT h.*, u.username, u.ranking, p.uid IS NOT NULL AS was, p.far_move_count AS pc, p.max_move_meters AS pm, p.ranking_at_day AS pr, x.max_edits_per_hour, m.far_move_count AS mc, m.max_move_meters AS mm, s.spread_km2, c.changed_keys, l.name_lang_events, i.countries,
+    coalesce(x.flag, 0) | coalesce(m.flag, 0) | coalesce(s.flag, 0) | coalesce(c.flag, 0) | coalesce(l.flag, 0) | CASE WHEN NOT from_base AND coalesce(u.ranking, 0) < 5 THEN 4 ELSE 0 END AS f
+  FROM base_ h LEFT JOIN users u USING (uid) LEFT JOIN prev p ON p.uid = h.uid AND p.change_date = h.change_date
+  LEFT JOIN bursts x ON x.uid = h.uid AND x.day = h.change_date LEFT JOIN movedays m ON m.uid = h.uid AND m.day = h.change_date LEFT JOIN spreads s ON s.uid = h.uid AND s.day = h.change_date
+  LEFT JOIN covers c ON c.uid = h.uid AND c.day = h.change_date LEFT JOIN langdays l ON l.uid = h.uid AND l.day + 19723 = h.change_date LEFT JOIN iso i ON i.uid = h.uid AND i.change_date = h.change_date),
+suspects AS (SELECT uid, coalesce(username, '<' || uid || '>') AS username, change_date, CAST(f AS INTEGER) AS suspect_flag, count AS changes, coalesce(max_edits_per_hour, 0) AS max_edits_per_hour, CAST(coalesce(spread_km2, 0) AS FLOAT) AS peak_spread_km2,
+    coalesce(changed_keys, []) AS changed_keys, coalesce(countries, []) AS countries, CASE WHEN was THEN pc ELSE coalesce(mc, 0) END AS far_move_count, CASE WHEN was THEN pm ELSE coalesce(mm, 0) END AS max_move_meters,
+    CAST(CASE WHEN was THEN pr ELSE coalesce(ranking, 0) END AS INTEGER) AS ranking_at_day, coalesce(name_lang_events, 0) AS name_lang_events FROM joined_ WHERE f <> 0)"""
+EXPORTS = (b.EDITS, b.MINUTES, b.CELLS, b.KEYS, b.STEPS, b.PLACES, b.TAGGED, BURSTS, SPREADS, COVERS, MOVES, LANGDAYS, EXPORT)
+
+
+def _suspects(s, d):
+    e = b.edits(s, d)
+    base = e.groupBy("uid", F.col("day").alias("change_date")).agg(F.count(F.lit(1)).alias("count")).withColumn("suspect_flag", F.lit(0)).withColumn("from_base", F.col("change_date") < 19_730)
+    users = e.select("uid", "username").distinct().where("uid % 17 <> 0").withColumn("ranking", (F.col("uid") % 12).cast("int"))
+    prev = e.select("uid", F.col("day").alias("change_date")).distinct().where("change_date < 19725 and uid % 2 = 0").select("*", F.lit(7).cast("long").alias("far_move_count"), F.lit(900).cast("long").alias("max_move_meters"), F.lit(3).alias("ranking_at_day"))
+    lang = screens.language_days(_langs(s, d)).withColumn("day", F.col("day") + 19_723)
+    rows = finalize.flagged(base, users, screens.burst_days(_minutes(s, d), BURST), _moves(s, d), screens.spread_days(_cells(s, d), _minutes(s, d), b.KM2, **SPREAD), screens.coverage_days(_keys(s, d), _minutes(s, d), objects=OBJECTS), lang, prev)
+    countries = finalize.countries_of_days(_cells(s, d), b.places(s, d), rows.where("suspect_flag <> 0"))
+    return finalize.suspects(rows, countries)
+
+
+_SHOWN = "uid, username, change_date, suspect_flag, changes, max_edits_per_hour, peak_spread_km2, array_to_string(changed_keys, ',') AS changed_keys, array_to_string(countries, ',') AS countries, far_move_count, max_move_meters, ranking_at_day, name_lang_events"
+
+
+@query(f"SELECT {_SHOWN} FROM suspects", *EXPORTS)
+def suspect_export(s, d):
+    return _joined(_suspects(s, d), "changed_keys", "countries")
+
+
+@query(f"SELECT {_SHOWN} FROM suspects ORDER BY change_date DESC, uid LIMIT 100", *EXPORTS)
+def latest_suspects(s, d):
+    return _joined(explore.latest(_suspects(s, d), 100), "changed_keys", "countries")
+
+
+@query(f"SELECT {_SHOWN} FROM suspects WHERE list_contains(countries, 'NAT') AND lower(username) LIKE '%er1%' AND lower(array_to_string(changed_keys, ', ')) LIKE '%cl%' AND changes >= 1 AND ranking_at_day BETWEEN 0 AND 11", *EXPORTS)
+def suspect_filters(s, d):
+    return _joined(explore.filtered(_suspects(s, d), country="nat", user="ER1", keys="Cl", least={"changes": 1, "far_move_count": None}, ranking=(0, 11)), "changed_keys", "countries")
+
+
+@query("SELECT uid, change_date, concat_ws(' ', CASE WHEN suspect_flag & 1 > 0 THEN 'filter-2' END, CASE WHEN suspect_flag & 2 > 0 THEN 'filter-3' END, CASE WHEN suspect_flag & 4 > 0 THEN 'filter-1' END, CASE WHEN suspect_flag & 8 > 0 THEN 'filter-4' END, CASE WHEN suspect_flag & 16 > 0 THEN 'filter-5' END, CASE WHEN suspect_flag & 32 > 0 THEN 'name-language' END) AS terms FROM suspects", *EXPORTS)
+def feed_terms(s, d):
+    return _suspects(s, d).select("uid", "change_date", F.array_join(text.filter_terms(F.col("suspect_flag")), " ").alias("terms"))
+
+
+@query(None)
+def feed_entries(s, d):
+    from driftline.sources import publish
+
+    return publish.feed_entries(_suspects(s, d))
+
+
+NODE_CUBE = """nodecube AS (SELECT cell, day, count(*) AS count FROM (SELECT day, coalesce(cell, CASE WHEN NOT visible THEN last_value(cell IGNORE NULLS) OVER (PARTITION BY id ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END) AS cell FROM nodes) WHERE cell IS NOT NULL GROUP BY ALL)"""
+
+
+def _node_cube(s, d):
+    return cube.counted(cube.node_events(b.positions(s, d)))
+
+
+@query("SELECT * FROM nodecube", b.NODES, NODE_CUBE)
+def cube_nodes(s, d):
+    return _node_cube(s, d)
+
+
+@query("SELECT * FROM history", b.NODES, b.HISTORY)
+def node_history(s, d):
+    return cube.positions(b.positions(s, d))
+
+
+@query("SELECT node, arg_max(cell, day) AS cell FROM history GROUP BY node", b.NODES, b.HISTORY)
+def last_positions(s, d):
+    return cube.last_positions(cube.positions(b.positions(s, d)))
+
+
+@query("SELECT way, node, r.day, h.cell FROM (SELECT o_orderkey AS way, l_partkey AS node, CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS INTEGER) AS day FROM orders JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) ON l_orderkey = o_orderkey) r ASOF JOIN history h ON r.node = h.node AND r.day >= h.day".replace("SELECT way, node,", "SELECT way, r.node,"), b.NODES, b.HISTORY)
+def asof_way_positions(s, d):
+    lines = b.table(s, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("node")).distinct()
+    refs = b.table(s, d, "orders").join(lines, "o_orderkey").select(F.col("o_orderkey").alias("way"), "node", F.unix_date(F.col("o_orderdate").cast("date")).alias("day"))
+    return cube.as_of(refs, cube.positions(b.positions(s, d)), "node", "day", "cell")
+
+
+WAY_CUBE = """shapes AS (SELECT id, version, day AS on_, last_value(CASE WHEN visible AND len(refs) > 0 THEN {'day': day, 'refs': refs} END IGNORE NULLS) OVER (PARTITION BY id ORDER BY version) AS s FROM ways WHERE NOT visible OR len(refs) > 0),
+wayrefs AS (SELECT id, version, on_, s.day AS day, unnest(s.refs) AS node FROM shapes WHERE s IS NOT NULL),
+waycells AS (SELECT DISTINCT r.id, r.version, r.on_ AS day, h.cell FROM wayrefs r ASOF JOIN history h ON r.node = h.node AND r.day >= h.day),
+waycube AS (SELECT cell, day, count(*) AS count FROM waycells GROUP BY ALL)"""
+
+
+def _way_cube(s, d):
+    return cube.counted(cube.way_events(b.ways(s, d), cube.positions(b.positions(s, d))))
+
+
+@query("SELECT * FROM waycube", b.NODES, b.HISTORY, b.WAYS, WAY_CUBE)
+def cube_ways(s, d):
+    return _way_cube(s, d)
+
+
+MERGED = "merged AS (SELECT cell, day, CAST(sum(count) AS BIGINT) AS count FROM (SELECT * FROM nodecube UNION ALL SELECT cell, day, count FROM waycube) GROUP BY ALL)"
+CUBES = (b.NODES, b.HISTORY, b.WAYS, NODE_CUBE, WAY_CUBE, MERGED)
+
+
+def _cube(s, d):
+    return cube.merged(_node_cube(s, d), _way_cube(s, d))
+
+
+@query("SELECT * FROM merged", *CUBES)
+def cube_merge(s, d):
+    return _cube(s, d)
+
+
+@query("SELECT id AS node, day, last_value(cell IGNORE NULLS) OVER (PARTITION BY id ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cell FROM nodes QUALIFY NOT visible".replace("SELECT id AS node, day,", "SELECT id AS node, day, visible,").join(["SELECT node, day, cell FROM (", ") WHERE cell IS NOT NULL"]), b.NODES)
+def deleted_last_position(s, d):
+    from pyspark.sql import Window
+
+    before = F.last("cell", ignorenulls=True).over(Window.partitionBy("id").orderBy("version").rowsBetween(Window.unboundedPreceding, -1))
+    return b.positions(s, d).withColumn("cell", before).where("not visible and cell is not null").select(F.col("id").alias("node"), "day", "cell")
+
+
+@query("SELECT w.day, cell, count(*) AS count FROM waycells c JOIN ways w ON w.id = c.id AND w.version = c.version WHERE NOT w.visible GROUP BY ALL", b.NODES, b.HISTORY, b.WAYS, WAY_CUBE)
+def deleted_way_cells(s, d):
+    ways = b.ways(s, d)
+    from pyspark.sql import Window
+
+    seen = Window.partitionBy("id").orderBy("version").rowsBetween(Window.unboundedPreceding, 0)
+    use = ways.where(~F.col("visible") | (F.size("refs") > 0)).withColumn("shape", F.last(F.when(F.col("visible"), F.struct("day", "refs")), ignorenulls=True).over(seen)).where("not visible and shape is not null")
+    refs = use.select("id", "version", F.col("day").alias("on"), F.col("shape.day").alias("day"), F.explode("shape.refs").alias("node"))
+    cells = cube.as_of(refs, cube.positions(b.positions(s, d)), "node", "day", "cell").select("id", "version", "on", "cell").distinct()
+    return cells.groupBy(F.col("on").alias("day"), "cell").agg(F.count(F.lit(1)).alias("count"))
+
+
+STATE = """sbase AS (SELECT id AS node, arg_max(cell, version) AS cell FROM nodes WHERE cell IS NOT NULL AND day < 10500 GROUP BY id),
+late AS (SELECT id AS node, arg_max({'visible': visible, 'cell': cell}, version) AS l FROM nodes WHERE day >= 10500 GROUP BY id),
+over_ AS (SELECT node, l.cell AS cell FROM late WHERE l.visible), dead AS (SELECT node FROM late WHERE NOT l.visible),
+ids AS (SELECT DISTINCT id AS node FROM nodes)"""
+
+
+def _state(s, d):
+    nodes = b.positions(s, d)
+    base = nodes.where("day < 10500 and cell is not null").groupBy(F.col("id").alias("node")).agg(F.max_by("cell", "version").alias("cell"))
+    none = base.limit(0)
+    over, dead = incremental.next_state(none, none.select("node"), nodes.where("day >= 10500").select(F.col("id").alias("node"), F.col("version").alias("ord"), "visible", "cell"))
+    return nodes.select(F.col("id").alias("node")).distinct(), base, over, dead
+
+
+@query("SELECT i.node, coalesce(o.cell, b.cell) AS cell FROM ids i LEFT JOIN over_ o USING (node) LEFT JOIN sbase b USING (node)", b.NODES, STATE)
+def node_state_pre(s, d):
+    ids, base, over, _ = _state(s, d)
+    return cube.pre_positions(ids, base, over)
+
+
+@query("SELECT i.node, CASE WHEN o.cell IS NOT NULL THEN o.cell WHEN x.node IS NOT NULL THEN NULL ELSE b.cell END AS cell FROM ids i LEFT JOIN over_ o USING (node) LEFT JOIN dead x ON x.node = i.node LEFT JOIN sbase b ON b.node = i.node", b.NODES, STATE)
+def node_state_post(s, d):
+    return cube.post_positions(*_state(s, d))
+
+
+@query("SELECT node, cell FROM over_ UNION ALL SELECT node, cell FROM sbase WHERE node NOT IN (SELECT node FROM over_) AND node NOT IN (SELECT node FROM dead)", b.NODES, STATE)
+def compact_state(s, d):
+    _, base, over, dead = _state(s, d)
+    return cube.compacted(base, over, dead)
+
+
+SEGS = """segs AS (SELECT id AS node, version, visible, cell, coalesce(sum(CASE WHEN visible THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM nodes WHERE day >= 10500),
+priors AS (SELECT node, version, coalesce(last_value(cell IGNORE NULLS) OVER (PARTITION BY node, seg ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), b.cell) AS prior FROM segs LEFT JOIN (SELECT node AS n, cell FROM sbase) b ON b.n = node)"""
+
+
+@query("SELECT node, CAST(version[1] AS BIGINT) AS ordkey, prior FROM priors".replace("version[1]", "struct_extract(version, 1)"), b.NODES, STATE, SEGS.replace("last_value(cell", "last_value(segs.cell"))
+def sequential_prior_cells(s, d):
+    _, base, _, _ = _state(s, d)
+    changes = b.positions(s, d).where("day >= 10500").select(F.col("id").alias("node"), F.col("version").alias("ord"), "visible", "cell")
+    return cube.sequential_prior(changes, base).select("node", F.col("ord.l_orderkey").alias("ordkey"), "prior")
+
+
+@query("SELECT p_partkey AS part, lo.iso AS iso FROM part LEFT JOIN (SELECT s_suppkey * 20 AS lo, s_suppkey * 20 + 14 AS hi, upper(substr(n_name, 1, 3)) AS iso FROM supplier JOIN nation ON s_nationkey = n_nationkey) lo ON p_partkey BETWEEN lo.lo AND lo.hi")
+def country_lookup(s, d):
+    spans = b.places(s, d).select((F.col("cell") * 20).alias("lo"), (F.col("cell") * 20 + 14).alias("hi"), "iso")
+    parts = b.table(s, d, "part").select(F.col("p_partkey").alias("part"))
+    return finalize.interval_join(parts, spans, "part", "lo", "hi", ["iso"], 32).select("part", "iso")
+
+
+@query(None)
+def country_of_points(s, d):
+    """Points of suppliers by the cube-face grid: an index of ancestors at two levels, joined back."""
+    pts = b.centres(s, d).withColumn("leaf", geo.s2_leaf_of("lat", "lon"))
+    index = pts.where("cell % 3 <> 0").select(F.when(F.col("cell") % 2 == 0, geo.s2_ancestor(F.col("leaf"), 10)).otherwise(geo.s2_ancestor(F.col("leaf"), 13)).alias("s2_cell"), (F.col("cell") % 5).cast("int").alias("country_id")).dropDuplicates(["s2_cell"])
+    names_ = s.createDataFrame([(0, None), (1, "AA"), (2, "BB"), (3, "CC"), (4, "DD")], "country_id int, iso string")
+    return finalize.country_of(pts, index, names_).select("cell", "iso")
+
+
+@query("SELECT uid, change_date, array_to_string(countries, ',') AS countries FROM (SELECT uid, day AS change_date, list_sort(list(DISTINCT iso)) AS countries FROM (SELECT DISTINCT uid, CAST(minute // 1440 AS INTEGER) AS day, cell FROM cells) JOIN places USING (cell) GROUP BY ALL)", b.EDITS, b.CELLS, b.PLACES)
+def countries_per_day(s, d):
+    days = b.edits(s, d).select("uid", F.col("day").alias("change_date")).distinct()
+    return _joined(finalize.countries_of_days(_cells(s, d), b.places(s, d), days), "countries")
+
+
+def _box(s, d):
+    cells = b.table(s, d, "supplier").where("s_suppkey between 10 and 60 and s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("cell"))
+    return explore.in_box(cube.by_year(_cube(s, d)), cells, FIRST, LAST)
+
+
+BOX = f"box AS (SELECT * FROM merged WHERE day BETWEEN {FIRST} AND {LAST} AND cell IN (SELECT s_suppkey FROM supplier WHERE s_suppkey BETWEEN 10 AND 60 AND s_suppkey % 3 = 0))"
+
+
+@query("SELECT cell, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY cell", *CUBES, BOX)
+def bbox_by_cell(s, d):
+    return explore.by_cell(_box(s, d))
+
+
+@query("SELECT day, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY day", *CUBES, BOX)
+def bbox_by_day(s, d):
+    return explore.by_day(_box(s, d))
+
+
+@query("SELECT cell, day, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY GROUPING SETS ((cell), (day), ())", *CUBES, BOX)
+def bbox_rollup(s, d):
+    return explore.rolled_up(_box(s, d))
+
+
+@query("SELECT day, CAST(sum(count) AS BIGINT) AS count FROM merged GROUP BY day ORDER BY count DESC, day LIMIT 20", *CUBES)
+def daily_totals_top20(s, d):
+    return explore.busiest_days(_cube(s, d))
+
+
+@query(f"SELECT CAST(g.day AS INTEGER) AS day, coalesce(count, 0) AS count FROM range({FIRST}, {LAST + 1}) g(day) LEFT JOIN (SELECT day, CAST(sum(count) AS BIGINT) AS count FROM box WHERE day % 3 <> 0 GROUP BY day) USING (day)", *CUBES, BOX)
+def histogram_gapfill(s, d):
+    return explore.gap_filled(explore.by_day(_box(s, d).where("day % 3 <> 0")), FIRST, LAST)
+
+
+@query("SELECT min(day) AS first_day, max(day) AS last_day FROM merged", *CUBES)
+def date_range(s, d):
+    return cube.date_range(_cube(s, d))
+
+
+@query("SELECT round(sum(lat * count) / sum(count), 6) AS lat, round(sum(lon * count) / sum(count), 6) AS lon FROM merged JOIN centres USING (cell)", *CUBES, b.CENTRES)
+def spatial_centre(s, d):
+    return cube.spatial_centre(_cube(s, d), b.centres(s, d)).select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+
+
+@query("SELECT CAST(year(DATE '1970-01-01' + day) AS INTEGER) AS year, CAST(sum(count) AS BIGINT) AS count, count(*) AS rows FROM merged GROUP BY ALL", *CUBES)
+def cube_years(s, d):
+    return cube.by_year(_cube(s, d)).groupBy("year").agg(F.sum("count").alias("count"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("SELECT uid, username, first_seen_day, ranking, node_created + node_modified + node_deleted + way_created + way_modified + way_deleted AS total_edits FROM totals JOIN ranked USING (uid) WHERE username = 'c7'", b.VERSIONS, DAYS, TOTALS, ASPECT, PCT, RANKED)
+def user_lookup(s, d):
+    return explore.total_edits(explore.by_username(activity.ranking(_totals(s, d)), "c7")).select("uid", "username", "first_seen_day", "ranking", "total_edits")
+
+
+@query("SELECT uid, change_date, count, suspect_flag FROM merged WHERE uid IN (5, 12, 40)", b.VERSIONS, DAYS, HALF)
+def user_timeline(s, d):
+    return explore.timeline(_merged(s, d).drop("from_base"), [5, 12, 40])
+
+
+@query("SELECT change_date, CAST(sum(count) AS BIGINT) AS count, bit_or(suspect_flag) AS flags FROM merged GROUP BY change_date", b.VERSIONS, DAYS, HALF)
+def profile_days(s, d):
+    return explore.profile_days(_merged(s, d))
+
+
+@query("SELECT uid, h.change_date, h.count, t.username FROM merged h JOIN totals t USING (uid) WHERE h.suspect_flag <> 0", b.VERSIONS, DAYS, TOTALS, HALF)
+def history_with_names(s, d):
+    return _merged(s, d).where("suspect_flag <> 0").join(_totals(s, d).select("uid", "username"), "uid").select("uid", "change_date", "count", "username")
+
+
+_CAP = "CASE aspect WHEN 'node' THEN 20 WHEN 'way' THEN 20 WHEN 'relation' THEN 12 ELSE 4 END"
+
+
+@query(f"""SELECT uid, aspect, round(pct * {_CAP} / 100, 2) AS points, CASE WHEN total <= 0 THEN 'no activity' WHEN active = 1 THEN 'only contributor' WHEN pct >= 100 THEN 'best' WHEN pct <= 0 THEN 'lowest' ELSE 'above ' || CAST(floor(pct) AS BIGINT) || '%' END AS label
+FROM pcts JOIN (SELECT aspect, count(*) FILTER (WHERE total > 0) AS active FROM aspects GROUP BY aspect) USING (aspect)""", b.VERSIONS, DAYS, TOTALS, ASPECT, PCT)
+def profile_points(s, d):
+    rows, users = activity.percentiles(activity.aspect_rows(_totals(s, d))), _totals(s, d)
+    cap = F.when(F.col("aspect").isin("node", "way"), 20).when(F.col("aspect") == "relation", 12).otherwise(4)
+    got = rows.join(F.broadcast(activity.ranking_stats(users)), "aspect")  # a row an aspect
+    return got.select("uid", "aspect", F.round(F.col("pct") * cap / 100, 2).alias("points"), text.percentile_label(F.col("total"), F.col("active"), F.col("pct")).alias("label"))
+
+
+@query(f"SELECT cell, count, CASE WHEN count >= 1000 THEN '{text.RAMP[4]}' WHEN count >= 200 THEN '{text.RAMP[3]}' WHEN count >= 50 THEN '{text.RAMP[2]}' WHEN count >= 10 THEN '{text.RAMP[1]}' ELSE '{text.RAMP[0]}' END AS colour, round(greatest(0, log10(count)), 6) AS log_count FROM (SELECT cell, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY cell)", *CUBES, BOX)
+def cell_colours(s, d):
+    return explore.by_cell(_box(s, d)).select("cell", "count", text.colour(F.col("count")).alias("colour"), F.round(F.greatest(F.lit(0.0), F.log10("count")), 6).alias("log_count"))
+
+
+STAMP, APPLIED = 23_970, 23_990
+
+
+@query(f"SELECT cell, day, CAST(sum(count) AS BIGINT) AS count FROM staged WHERE seq <= {APPLIED} GROUP BY ALL", b.STAGED)
+def fold_apply_once(s, d):
+    st = b.staged(s, d)
+    base = st.where(F.col("seq") <= STAMP).groupBy("cell", "day").agg(F.sum("count").alias("count"))
+    return incremental.fold(base, st, STAMP, ["cell", "day"], "count", APPLIED)
+
+
+@query(f"SELECT year, cell, day, CAST(sum(count) AS BIGINT) AS count FROM staged WHERE seq <= {APPLIED} AND year IN (SELECT year FROM staged WHERE seq > {STAMP} AND seq <= {APPLIED}) GROUP BY ALL", b.STAGED)
+def merge_touched_years(s, d):
+    st = b.staged(s, d)
+    return incremental.merge_years(st.where(F.col("seq") <= STAMP).drop("seq"), st, STAMP, APPLIED)
+
+
+@query("""SELECT seq, batch, lo, hi FROM plan""", b.EDITS, """diffs AS (SELECT id // 20 AS seq, min(secs) AS lo, max(secs) AS hi FROM edits GROUP BY ALL),
+numbered AS (SELECT *, row_number() OVER (ORDER BY seq) AS r FROM diffs),
+plan AS (WITH RECURSIVE p AS (
+    SELECT seq, r, lo, hi, 0 AS batch, lo AS blo, hi AS bhi FROM numbered WHERE r = 1
+    UNION ALL SELECT n.seq, n.r, n.lo, n.hi, CASE WHEN p.bhi - p.blo >= 3600 THEN p.batch + 1 ELSE p.batch END,
+      CASE WHEN p.bhi - p.blo >= 3600 THEN n.lo ELSE least(p.blo, n.lo) END, CASE WHEN p.bhi - p.blo >= 3600 THEN n.hi ELSE greatest(p.bhi, n.hi) END FROM p JOIN numbered n ON n.r = p.r + 1)
+  SELECT seq, batch, lo, hi FROM p)""")
+def batch_plan(s, d):
+    return incremental.batch_plan(b.edits(s, d).select((F.col("id") / 20).cast("long").alias("seq"), "secs"))
+
+
+@query("SELECT id, strftime(DATE '1970-01-01' + day, '%Y-%m-%d') AS iso, CAST(month(DATE '1970-01-01' + day) AS INTEGER) AS month, CAST(minute // 1440 AS INTEGER) AS day2 FROM edits", b.EDITS)
+def iso_days(s, d):
+    return b.edits(s, d).select("id", time.iso_date("day").alias("iso"), time.month_of_day("day").alias("month"), time.day_of_minute().alias("day2"))
+
+
+@query("SELECT doc_id, CASE WHEN levenshtein(a, b) > 4 THEN 5 ELSE CAST(levenshtein(a, b) AS INTEGER) END AS distance FROM (SELECT doc_id, source || lang AS a, lag(source || lang) OVER (ORDER BY doc_id) AS b FROM documents) WHERE b IS NOT NULL")
+def bounded_distance(s, d):
+    docs = b.table(s, d, "documents").select("doc_id", F.concat("source", "lang").alias("a"))
+    prev = docs.select((F.col("doc_id") + 1).alias("doc_id"), F.col("a").alias("b"))
+    return docs.join(prev, "doc_id").select("doc_id", names.levenshtein_bounded(F.col("a"), F.col("b"), 4).alias("distance"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(Q)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+assert TAG_COUNTERS  # the schemas and the SQL above share one list of keys
