@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import common, graph, words
 
-RADIUS = 6
+RADIUS = 8
 K = 5
 MIN_WORDS = 15
 RECALL = 0.95
@@ -87,28 +87,37 @@ def _paragraphs(docs: DataFrame, id_col: str, text_col: str, bands: int) -> Data
 
 
 def _sets(need: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, seg, n_words, start, end and the shingle set of the paragraphs (id, seg) asked for."""
+    """id, seg, n_words, start, end and the shingles of the paragraphs (id, seg) asked for."""
     asked = need.groupBy("id").agg(F.collect_set("seg").alias("segs"))
-    rows = asked.join(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id").select("id", "segs", "text")
+    # hinted, so that the plan is the same at every size
+    rows = asked.hint("merge").join(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id").select("id", "segs", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "seg", "n_words", "start", "end", "shingles"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-        for b in common.by_bytes(batches, "text", 8 << 20):
-            out: list[tuple] = []
-            ids, segs, col = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)
+        for b in common.by_bytes(batches, "text", 2 << 20):
+            ids, col = b.column(0).to_numpy(), b.column(2)
+            parts: list[list[np.ndarray]] = [[] for _ in range(7)]
             for lo, hi, raw, off in words.blocks(col):
                 h, w0, w1, first = words.word_hashes(raw, off)
                 for i in range(lo, hi):
                     a, z = int(first[i - lo]), int(first[i - lo + 1])
                     w = h[a:z]
                     at = starts(w)
-                    ends = np.append(at[1:], len(w))
-                    for s in sorted(segs[i]):
-                        p, q = int(at[s]), int(ends[s])
-                        out.append((ids[i], s, q - p, int(w0[a + p] - off[i - lo]), int(w1[a + q - 1] - off[i - lo]), np.unique(words.shingles(w[p:q], K)).view(np.int64)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+                    seg = np.sort(b.column(1)[i].values.to_numpy())
+                    p, q = at[seg[seg < len(at)]], np.append(at[1:], len(w))[seg[seg < len(at)]]
+                    fit = q - p >= K  # another row of the same id may be shorter
+                    seg, p, q = seg[: len(p)][fit], p[fit], q[fit]
+                    if not len(seg):
+                        continue
+                    size = q - p - K + 1
+                    s = words.shingles(w, K)
+                    pick = np.arange(size.sum()) + np.repeat(p - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+                    for c, v in zip(parts, (np.full(len(seg), ids[i]), seg, q - p, w0[a + p] - off[i - lo], w1[a + q - 1] - off[i - lo], size, s[pick].view(np.int64)), strict=True):
+                        c.append(v)
+            if parts[0]:
+                one, seg, n, start, end, size, flat = (np.concatenate(c) for c in parts)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(seg.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(start), pa.array(end), pa.ListArray.from_arrays(offsets, pa.array(flat))], names)
 
     return rows.mapInArrow(run, "id long, seg int, n_words int, start long, end long, shingles array<long>")
 
@@ -117,25 +126,26 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """id, start, end, n_words, n_paragraphs, keep_id of each span to be removed; keep_id is where its first paragraph stays."""
     bands = bands_for(num / den, recall)
     base = common.written(_paragraphs(docs, id_col, text_col, bands), "paragraphs")
+    # the key of band i is moved by i, so that a value does not meet the same value in another band
     spots = None
     for i in range(bands):
-        one = base.select("id", F.explode(F.arrays_zip("seg", "size", f"k{i}")).alias("p")).select(F.col(f"p.k{i}").alias("key"), F.col("p.size").alias("size"), "id", F.col("p.seg").alias("seg"), F.lit(i).cast("tinyint").alias("band"))
+        one = base.select("id", F.explode(F.arrays_zip("seg", "size", f"k{i}")).alias("p")).select(F.col(f"p.k{i}").bitwiseXOR(F.lit(i)).alias("key"), F.col("p.size").alias("size"), "id", F.col("p.seg").alias("seg"))
         spots = one if spots is None else spots.unionByName(one)
-    spots = spots.select(F.xxhash64("key", "band").alias("key"), "size", "id", "seg")
-    place = F.struct("id", "seg")
-    firsts = spots.groupBy("key", "size").agg(F.min(place).alias("lead"), F.count("id").alias("m"))
-    full = firsts.groupBy("key").agg(F.sum("m").alias("m"), F.min("lead").alias("head"), F.count("size").alias("sizes")).where("m > 1")
-    firsts = common.written(firsts.join(full.select("key", "head"), "key").where("m > 1 or lead <> head"), "firsts")
-    near = spots.join(firsts.where("m > 1").select("key", "size", "lead"), ["key", "size"]).where(place != F.col("lead")).select(place.alias("a"), F.col("lead").alias("b"))
-    pairs = common.written(near.unionByName(firsts.where("lead <> head").select(F.col("lead").alias("a"), F.col("head").alias("b"))).distinct(), "pairs")
-    need = pairs.select("a.*").unionByName(pairs.select("b.*")).distinct()
-    sets = common.written(_sets(need, docs, id_col, text_col), "sets")
-    of = lambda c: sets.select(F.struct("id", "seg").alias(c), F.col("shingles").alias(f"s{c}"))
+    # numbers only, so that Spark can sum up in hash tables
+    firsts = spots.groupBy("key", "size").agg(F.min("id").alias("lid"), F.min_by("seg", "id").alias("lseg"), F.count("id").alias("m"))
+    full = firsts.groupBy("key").agg(F.sum("m").alias("km"), F.min("lid").alias("hid"), F.min_by("lseg", "lid").alias("hseg")).where("km > 1")
+    firsts = common.written(firsts.join(full, "key").where("m > 1 or lid <> hid"), "firsts")
+    near = spots.join(firsts.where("m > 1").select("key", "size", "lid", "lseg"), ["key", "size"]).where("id <> lid").select("id", "seg", "lid", "lseg")
+    heads = firsts.where("lid <> hid").select(F.col("lid").alias("id"), F.col("lseg").alias("seg"), F.col("hid").alias("lid"), F.col("hseg").alias("lseg"))
+    pairs = common.written(near.unionByName(heads).distinct(), "pairs")
+    need = pairs.select("id", "seg").unionByName(pairs.select(F.col("lid").alias("id"), F.col("lseg").alias("seg")))
+    sets = common.written(_sets(need, docs, id_col, text_col).withColumn("node", F.monotonically_increasing_id()), "sets")
+    of = lambda i, g, c: sets.select(F.col("id").alias(i), F.col("seg").alias(g), F.col("node").alias(c), F.array_distinct("shingles").alias(f"s{c}"))
     both = F.size(F.array_intersect("sa", "sb"))
-    links = pairs.join(of("a"), "a").join(of("b"), "b").where(both * den >= (F.size("sa") + F.size("sb") - both) * num).select("a", "b")
-    comp = graph.components(links)
-    gone = comp.where("node.id <> comp.id").select("node.id", "node.seg", F.col("comp.id").alias("keep_id"))
-    gone = gone.join(sets.drop("shingles").dropDuplicates(["id", "seg"]), ["id", "seg"])
+    links = pairs.join(of("id", "seg", "a"), ["id", "seg"]).join(of("lid", "lseg", "b"), ["lid", "lseg"]).where(both * den >= (F.size("sa") + F.size("sb") - both) * num).select("a", "b")
+    places = sets.drop("shingles").join(graph.components(links), "node")
+    keep = places.groupBy("comp").agg(F.min("id").alias("keep_id"))
+    gone = places.join(keep, "comp").where("id <> keep_id").groupBy("id", "seg").agg(F.first("n_words").alias("n_words"), F.first("start").alias("start"), F.first("end").alias("end"), F.min("keep_id").alias("keep_id"))
     run = F.col("seg") - F.row_number().over(Window.partitionBy("id").orderBy("seg"))
     spans = gone.withColumn("run", run).groupBy("id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"), F.count("seg").alias("n_paragraphs"), F.min_by("keep_id", "seg").alias("keep_id"))
     return spans.where(F.col("n_words") >= min_words).select(F.col("id").alias(id_col), "start", "end", "n_words", "n_paragraphs", "keep_id")
