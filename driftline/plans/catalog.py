@@ -422,11 +422,11 @@ def countries_per_day(s, d):
 
 
 def _box(s, d):
-    cells = b.table(s, d, "supplier").where("s_suppkey between 10 and 60 and s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("cell"))
+    cells = b.table(s, d, "supplier").where("s_suppkey between 2 and 60 and s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("cell"))
     return explore.in_box(cube.by_year(_cube(s, d)), cells, FIRST, LAST)
 
 
-BOX = f"box AS (SELECT * FROM merged WHERE day BETWEEN {FIRST} AND {LAST} AND cell IN (SELECT s_suppkey FROM supplier WHERE s_suppkey BETWEEN 10 AND 60 AND s_suppkey % 3 = 0))"
+BOX = f"box AS (SELECT * FROM merged WHERE day BETWEEN {FIRST} AND {LAST} AND cell IN (SELECT s_suppkey FROM supplier WHERE s_suppkey BETWEEN 2 AND 60 AND s_suppkey % 3 = 0))"
 
 
 @query("SELECT cell, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY cell", *CUBES, BOX)

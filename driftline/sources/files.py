@@ -89,7 +89,7 @@ def country_index(spark: SparkSession, cells: str, names: str) -> tuple[DataFram
     """(s2_cell, country_id, level) with signed cells, and (country_id, iso)."""
     index = spark.read.parquet(cells)
     wide = F.col("s2_cell").cast("decimal(20,0)")
-    signed = F.when(wide >= F.lit(1 << 63).cast("decimal(20,0)"), wide - F.lit(1 << 64).cast("decimal(20,0)")).otherwise(wide).cast("long")
+    signed = F.when(wide >= F.lit(str(1 << 63)).cast("decimal(20,0)"), wide - F.lit(str(1 << 64)).cast("decimal(20,0)")).otherwise(wide).cast("long")
     text = "\n".join(r[0] for r in spark.read.text(names).collect())
     iso = [(int(k), v) for k, v in json.loads(text).items()]
     return index.select(signed.alias("s2_cell"), F.col("country_id").cast("int").alias("country_id"), F.col("level").cast("int").alias("level")), spark.createDataFrame(iso, "country_id int, iso string")
