@@ -16,29 +16,31 @@ from driftline.llm import common, exact_dedup, jaccard_join, packing, substring_
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of 0.5 or more go. Fits on labels outside the held-out fold."""
     net = toxicity.train(docs, common.table(spark, sf_dir, "labels").where(~toxicity.held_out()))
-    shown = docs.withColumn("_text", F.col("text"))
-    return toxicity.score(shown, net, "_text").where("score < 0.5").select(*docs.columns)
+    out = "score"
+    while out in docs.columns:
+        out += "_"
+    return toxicity.score(docs, net, out=out, keep_text=True).where(F.col(out) < 0.5).drop(out)
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with these ids; of rows that repeat an id, one."""
-    kept = docs.join(ids, "doc_id", "left_semi")
+    """The rows of ``docs`` with these ids (doc_id, times); of rows that repeat an id and its text, one. Rows without id stay."""
+    kept = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
     if ids.agg(F.count("doc_id") < F.sum("times")).first()[0]:
-        kept = kept.dropDuplicates(["doc_id"])
+        kept = kept.dropDuplicates(["doc_id", "text"])
     return kept
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the smallest id stays."""
     got = common.written(exact_dedup.exact_dedup(docs).select("doc_id", "kept"), "kept")
-    ids = got.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times")).where("kept")
+    ids = got.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("doc_id").alias("times")).where("kept")
     return _only(docs, ids)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
     got = common.written(jaccard_join.jaccard_components(docs), "near")
-    ids = got.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
+    ids = got.where("doc_id is null or doc_id = component_id").groupBy("doc_id").agg(F.count("doc_id").alias("times"))
     return _only(docs, ids)
 
 

@@ -104,7 +104,7 @@ def _measured(docs: DataFrame, text_col: str, rest: Sequence[str]) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int = SAMPLE) -> Evidence:
     key = F.col(id_col)
     pick = labels.where(key.isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).cast("int").alias("y")).orderBy(F.xxhash64(key), key).limit(sample)
-    rows = docs.join(F.broadcast(pick), id_col).select(F.xxhash64(id_col).alias("key"), "y", text_col)
+    rows = docs.select(id_col, text_col).join(F.broadcast(pick), id_col).select(F.xxhash64(id_col).alias("key"), "y", text_col)
     got = _measured(rows, text_col, ["key", "y"]).toArrow().sort_by("key")
     model, y = Evidence(), got["y"].to_numpy().astype(np.float64)
     if len(y) and 0 < y.mean() < 1:

@@ -86,7 +86,7 @@ def exact_top_k(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
     def run(cell: pa.Table) -> pa.Table:
         dims = cell["dims"][0].as_py()
         v = cell["v"].combine_chunks()
-        v = (v.flatten() if isinstance(v, pa.ListArray) else v.combine_chunks().flatten()).to_numpy(zero_copy_only=False).reshape(-1, dims)
+        v = (v.flatten() if isinstance(v, pa.ListArray) else v.combine_chunks().flatten()).to_numpy(zero_copy_only=False).reshape(cell.num_rows, dims)
         ids, copy, query = (cell[x].to_numpy() for x in ("id", "copy", "query"))
         query = query.astype(bool)
         sort = np.lexsort((copy[~query], ids[~query]))
