@@ -8,11 +8,14 @@ distances between unrelated texts are 1, so a window of 0.2 around each border w
    of a set unmatched, two linked documents meet in the region of at least one of their first n/5 + 1 pivots. Rarity comes from a
    table of COUNTERS counts over all shingles of all documents (fixed size; any order is exact, this one keeps frequent
    passages from making regions). Equal sets in a partition go on as one document.
-2. In a region the document with the smallest id is the pivot. A document is compared in full with that one of its regions' pivots that
-   it meets most often, and joined with it if they link; components follow.
+2. In a region the document that meets most others, over all its regions, is the pivot (a text is more central than its edited copies). A
+   document is compared in full with that one of its regions' pivots that it meets most often, and joined with it if they link;
+   components follow. LEADER_ROUNDS rounds do this, each with pivots of other components only.
 3. Regions whose documents are not in one component yet are joined again (the recursion): each pair of different components in them is
-   held against the triangle inequality: |d(x, P) - d(y, P)| summed over PROFILE pivots P, the classes of shingles by hash, is at
-   most the symmetric difference of x and y, which a link bounds by (|x| + |y|) / 9. Pairs that stay are compared in full.
+   first held against what is left of both sets from their first common pivot on, which bounds the intersection (edits that only
+   one copy has are rare and come before it); then against the triangle inequality: |d(x, P) - d(y, P)| summed over PROFILE pivots P,
+   the classes of shingles by hash, is at most the symmetric difference of x and y, which a link bounds by (|x| + |y|) / 9. Pairs
+   that stay are compared in full.
    Pairs inside a component need no comparison, so no group of copies is ever expanded into its pairs.
 
 Full comparisons run in blocks of at most BLOCK documents against one pivot, on sets made from whole texts again.
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, graph, words
@@ -36,6 +39,7 @@ COUNTERS = 1 << 20
 SLICES = 32
 PROFILE = 32
 BLOCK = 256
+LEADER_ROUNDS = 2
 
 
 def shingle_set(word_hashes: np.ndarray, k: int = 5) -> np.ndarray:
@@ -109,13 +113,20 @@ def regions(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den:
     return docs.select(id_col, text_col).mapInArrow(run, "id long, n long, head long, pivots array<long>, profile array<int>")
 
 
-def compare(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
-    """Of the pairs (a, b) those that link. Blocks hold one b and at most about BLOCK of its a's."""
+def _able(n: Column, left: Column, other_n: Column, other_left: Column, num: int, den: int) -> Column:
+    """Whether two sets can link that meet first at a pivot from which on they have ``left`` and ``other_left`` shingles.
+
+    Before their first common pivot nothing is common, so the smaller rest bounds the intersection. A pair that links passes at that pivot.
+    """
+    return F.least(left, other_left) * (num + den) >= (n + other_n) * num
+
+
+def compare(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Of the pairs (a, b) those that link; texts: id, text. Blocks hold one b and at most about BLOCK of its a's."""
     sizes = pairs.groupBy("b").agg(F.ceil(F.count("a") / BLOCK).alias("blocks"))
     pairs = pairs.join(sizes, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("blocks")).alias("blk"))
     need = pairs.select(F.col("a").alias("id"), "b", "blk", F.lit(1).alias("role")).unionByName(pairs.select(F.col("b").alias("id"), "b", "blk", F.lit(0).alias("role")).distinct())
-    text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = need.join(text, "id").repartition("b", "blk").sortWithinPartitions("b", "blk", "role").select("id", "b", "role", "text")
+    rows = need.hint("merge").join(texts, "id").repartition("b", "blk").sortWithinPartitions("b", "blk", "role").select("id", "b", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, pivot = None, None
@@ -140,30 +151,46 @@ def compare(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: in
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """id, n_shingles, component_id of each row. Two documents link when den * |x & y| >= num * |x | y|; num/den is at least 1/2."""
     base = common.written(regions(docs, id_col, text_col, k, num, den), "regions")
-    spots = base.where("pivots is not null").select("id", F.explode("pivots").alias("pivot"))
-    full = spots.groupBy("pivot").agg(F.min("id").alias("lead"), F.count("id").alias("m")).where("m > 1").select("pivot", "lead")
-    met = common.written(spots.join(full, "pivot").where("id <> lead").select("pivot", "id", "lead"), "met")
-    often = met.groupBy("id", "lead").agg(F.count(F.lit(1)).alias("c")).groupBy("id").agg(F.max_by("lead", F.struct("c", -F.col("lead"))).alias("lead"))
-    sizes = base.where("pivots is not null").select("id", "n")
-
-    def sized(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-        return both.where(f"{den} * least(na, nb) >= {num} * greatest(na, nb)")
-
-    first = common.written(compare(sized(often.select(F.col("id").alias("a"), F.col("lead").alias("b"))).select("a", "b"), docs, id_col, text_col, k, num, den), "links")
-    comp = graph.components(first)
-    here = met.select("pivot", "id").unionByName(met.select("pivot", F.col("lead").alias("id")).distinct())
-    here = here.join(comp.withColumnRenamed("node", "id"), "id", "left").select("pivot", "id", F.coalesce("comp", "id").alias("comp"))
+    heads = base.where("pivots is not null")
+    # left: how many shingles of the document come from this pivot on, in the order of all pivots
+    spots = heads.select("id", "n", F.posexplode("pivots").alias("at", "pivot")).select("pivot", "id", "n", (F.col("n") - F.col("at")).alias("left"))
+    full = spots.groupBy("pivot").agg(F.count("id").alias("m")).where("m > 1")
+    met = common.written(spots.join(full, "pivot"), "met")
+    central = met.groupBy("id").agg(F.sum("m").alias("degree"))
+    lead = met.join(central, "id").groupBy("pivot").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("lead"))
+    met = common.written(met.select("pivot", "id", "n", "left").join(lead, "pivot"), "led")
+    # hinted, so that the plan is the same at every size
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(met.select("id").distinct().hint("merge"), "id", "left_semi")
+    texts = common.written(texts, "texts")
+    leads = met.where("id = lead").select("pivot", F.col("n").alias("lead_n"), F.col("left").alias("lead_left"))
+    able = _able(F.col("n"), F.col("left"), F.col("lead_n"), F.col("lead_left"), num, den)
+    often = met.where("id <> lead").join(leads, "pivot").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("c"), F.max(able).alias("able"))
+    asked = common.written(often.where("able").drop("able"), "asked")
+    links, comp, told = None, None, None
+    for _ in range(LEADER_ROUNDS):
+        open_ = asked
+        if comp is not None:
+            of = lambda c: comp.select(F.col("node").alias(c), F.col("comp").alias(f"_{c}"))  # noqa: B023, E731
+            open_ = asked.join(of("id"), "id", "left").join(of("lead"), "lead", "left").where(F.coalesce("_id", "id") != F.coalesce("_lead", "lead")).join(told, ["id", "lead"], "left_anti")
+        best = open_.groupBy("id").agg(F.max_by("lead", F.struct("c", -F.col("lead"))).alias("lead"))
+        best = common.written(best, "best")
+        told = best if told is None else told.unionByName(best)
+        new = common.written(compare(best.select(F.col("id").alias("a"), F.col("lead").alias("b")), texts, k, num, den), "links")
+        links = new if links is None else links.unionByName(new)
+        comp = graph.components(links)
+    here = met.join(comp.withColumnRenamed("node", "id"), "id", "left").select("pivot", "id", "n", "left", F.coalesce("comp", "id").alias("comp"))
     open_ = here.groupBy("pivot").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("pivot")
-    left = here.join(open_, "pivot").join(base.where("pivots is not null").select("id", "n", "profile"), "id")
+    left = here.join(open_, "pivot").join(heads.select("id", "profile"), "id")
     left = common.written(left, "open")
     x, y = left.alias("x"), left.alias("y")
     apart = F.aggregate(F.zip_with("x.profile", "y.profile", lambda p, q: F.abs(p - q)), F.lit(0), lambda s, v: s + v)
-    near = (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.id") > F.col("y.id")) & (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num) & (apart * (num + den) <= (F.col("x.n") + F.col("y.n")) * (den - num))
-    pairs = common.written(x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "pairs")
-    second = compare(pairs, docs, id_col, text_col, k, num, den)
+    near = (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.id") > F.col("y.id")) & _able(F.col("x.n"), F.col("x.left"), F.col("y.n"), F.col("y.left"), num, den) & (apart * (num + den) <= (F.col("x.n") + F.col("y.n")) * (den - num))
+    pairs = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    for a, b in (("a", "b"), ("b", "a")):
+        pairs = pairs.join(told.select(F.col("id").alias(a), F.col("lead").alias(b)), ["a", "b"], "left_anti")
+    second = compare(common.written(pairs, "pairs"), texts, k, num, den)
     same = base.where("head <> id").select(F.col("id").alias("a"), F.col("head").alias("b"))
-    comp = common.written(graph.components(first.unionByName(second).unionByName(same)), "components")
+    comp = common.written(graph.components(links.unionByName(second).unionByName(same)), "components")
     return base.join(comp, F.col("id") == F.col("node"), "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("comp", "id").alias("component_id"))
 
 
