@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from . import common, graph, words
 
-RADIUS = 8
+RADIUS = 5
 K = 5
-MIN_WORDS = 15
+MIN_WORDS = 12
 RECALL = 0.95
 _TOP = np.uint64(2**64 - 1)
 
@@ -153,29 +153,27 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the spans cut out of the texts; rows left without a word that had one are dropped."""
-    cuts = spans.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
+    cuts_col = "_cuts"
+    while cuts_col in docs.columns:
+        cuts_col += "_"
+    cuts = spans.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cuts_col))
     rest = [c for c in docs.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, keep = [], []
             for t, c in zip(b.column(len(rest)).cast(pa.binary()).to_pylist(), b.column(len(rest) + 1).to_pylist(), strict=True):
+                keep.append(True)
                 if c and t is not None:
-                    out, at = [], 0
-                    for s in c:
-                        out.append(t[at : s["start"]])
-                        at = s["end"]
-                    t = b"".join([*out, t[at:]])
-                    keep.append(bool(t.strip()))
-                else:
-                    keep.append(True)
+                    edges = [0, *(e for s in c for e in (s["start"], s["end"])), len(t)]
+                    t = b"".join([t[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)])
+                    keep[-1] = bool(t.strip())
                 texts.append(t)
             out = pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(rest))), pa.array(texts, pa.binary()).cast(pa.string())], [*rest, text_col])
             yield out.filter(pa.array(keep, pa.bool_()))
 
-    joined = docs.join(cuts, id_col, "left").select(*rest, text_col, "_cuts")
-    schema = docs.select(*rest, text_col).schema
-    return joined.mapInArrow(run, schema).select(*docs.columns)
+    joined = docs.join(cuts, id_col, "left").select(*rest, text_col, cuts_col)
+    return joined.mapInArrow(run, docs.select(*rest, text_col).schema).select(*docs.columns)
 
 
 def op9_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
