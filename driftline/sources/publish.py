@@ -40,25 +40,35 @@ def suspects(df: DataFrame, path: str) -> None:
     table(df.orderBy(F.desc("change_date"), "uid"), path, 1_000, ("change_date", "uid"))
 
 
-def feed_entries(suspects: DataFrame) -> DataFrame:
+def feed_entries(suspects: DataFrame, site: str = "", users: str = "#user=") -> DataFrame:
     """change_date, uid, entry: one Atom entry a row, newest first."""
-    day = time.iso_date("change_date")
-    name = text.escape_xml(F.col("username"))
-    terms = F.array_join(F.transform(text.filter_terms(F.col("suspect_flag")), lambda t: F.concat(F.lit("<category term='"), t, F.lit("'/>"))), " ")
-    facts: list[Column] = [F.concat(F.col("changes").cast("string"), F.lit(" changes"))]
-    facts += [F.when(F.col("max_edits_per_hour") > 0, F.concat(F.lit("at most "), F.col("max_edits_per_hour").cast("string"), F.lit(" edits in an hour")))]
-    facts += [F.when(F.col("far_move_count") > 0, F.concat(F.col("far_move_count").cast("string"), F.lit(" far moves, the longest "), text.distance_label(F.col("max_move_meters"))))]
-    facts += [F.when(F.size("changed_keys") > 0, F.concat(F.lit("keys: "), F.array_join("changed_keys", ", ")))]
-    facts += [F.when(F.size("countries") > 0, F.array_join(F.transform("countries", text.country_label), ", "))]
-    body = text.escape_xml(F.array_join(F.array_compact(F.array(*facts)), "; "))
-    entry = F.concat(
-        F.lit("<entry><id>urn:user-day:"), F.col("uid").cast("string"), F.lit(":"), day, F.lit("</id><title>"), name, F.lit(" on "), day, F.lit("</title><updated>"), day, F.lit("T00:00:00Z</updated><link href='#user="),
-        text.url_encode(F.col("username")), F.lit("'/>"), terms, F.lit("<summary>"), body, F.lit("</summary></entry>"),
+    day, flag = time.iso_date("change_date"), F.col("suspect_flag")
+    whole = lambda c: F.col(c).cast("string")
+    quoted = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    name, set_ = text.escape_xml(F.col("username")), lambda bit: flag.bitwiseAND(F.lit(bit)) != 0
+    terms = F.concat(text.filter_terms(flag), F.transform("countries", text.escape_xml))
+    lines: list[Column] = [
+        quoted("Flagged edit day for ", name, " on ", day, "."),
+        quoted("Changes: ", whole("changes"), " | Ranking at day: #", whole("ranking_at_day")),
+        F.when(F.size("countries") > 0, quoted("Countries: ", F.array_join(F.transform("countries", text.country_label), ", "))),
+        F.when(set_(text.BURST), quoted("Filter 2 (edit burst): peak ", whole("max_edits_per_hour"), " edits/hour")),
+        F.when(set_(text.MOVE), quoted("Filter 3 (node moves): ", whole("far_move_count"), " far moves, largest ", text.distance_label(F.col("max_move_meters")))),
+        F.when(set_(text.SPREAD), quoted("Filter 4 (spread): peak ", F.round("peak_spread_km2").cast("long").cast("string"), " km^2")),
+        F.when(set_(text.COVERAGE), quoted("Filter 5 (mass tag): ", F.array_join(F.transform("changed_keys", text.escape_xml), " "))),
+        F.when(set_(text.LANGUAGE), quoted("Name-language abuse: ", whole("name_lang_events"), " event(s)")),
+    ]
+    body = text.escape_xml(F.concat(F.array_join(F.array_compact(F.array(*lines)), "\n"), F.lit("\n")))
+    link = text.escape_xml(quoted(users, text.url_encode(F.col("username"))))
+    entry = quoted(
+        "<entry><title>", name, " - ", day, " (", whole("changes"), " changes)</title><id>tag:suspect,", day, ":", whole("uid"), "</id><updated>", day, "T00:00:00Z</updated>",
+        "<author><name>", name, "</name><uri>", text.escape_xml(quoted(site, text.url_encode(F.col("username")))), "</uri></author><link rel='alternate' href='", link, "'/>",
+        F.array_join(F.transform(terms, lambda t: F.concat(F.lit("<category term='"), t, F.lit("'/>"))), " "), "<content type='text'>", body, "</content></entry>",
     )
     return suspects.orderBy(F.desc("change_date"), "uid").select("change_date", "uid", entry.alias("entry"))
 
 
-def _replace(path: str, content: str) -> None:
+def replace(path: str, content: str) -> None:
+    """Puts a file in place in one step."""
     part = f"{path}.part"
     with open(part, "w", encoding="utf-8") as f:
         f.write(content)
@@ -66,26 +76,39 @@ def _replace(path: str, content: str) -> None:
 
 
 def feed(suspects: DataFrame, path: str, title: str = "Suspect activity", most: int | None = None) -> None:
-    """The feed as one file, put in place in one step. Entries come to the driver partition by partition."""
+    """The feed as one file. Entries come to the driver partition by partition and go straight to the file."""
     rows = feed_entries(suspects)
-    rows = rows.limit(most) if most else rows
-    lines, newest = [], None
-    for r in rows.toLocalIterator():
-        newest = newest or time.day_key(r["change_date"])
-        lines.append(r["entry"])
-    head = f'<?xml version="1.0" encoding="utf-8"?>\n<feed xmlns="http://www.w3.org/2005/Atom"><title>{title}</title><id>urn:suspects</id><updated>{newest or "1970-01-01"}T00:00:00Z</updated>'
-    _replace(path, "\n".join([head, *lines, "</feed>\n"]))
+    newest = suspects.agg(F.max("change_date")).first()[0]
+    part = f"{path}.part"
+    with open(part, "w", encoding="utf-8") as f:
+        f.write("<?xml version='1.0' encoding='utf-8'?>\n<feed xmlns='http://www.w3.org/2005/Atom'>\n")
+        f.write(f"<title>{title}</title><id>tag:suspects</id><updated>{'1970-01-01' if newest is None else time.day_key(newest)}T00:00:00Z</updated>\n")
+        for r in (rows.limit(most) if most else rows).toLocalIterator():
+            f.write(r["entry"] + "\n")
+        f.write("</feed>\n")
+    os.replace(part, path)
 
 
-def manifest(path: str, resolution: int, source: dict, centre: tuple[float, float] | None, date_range: tuple[int, int] | None, datasets: dict[str, list[str]]) -> None:
-    """What there is, where it came from and what it spans; replaced in one step. datasets: name to Parquet files, whose footer sizes are read."""
+def manifest(path: str, resolution: int, source: dict, centre: tuple[float, float] | None, date_range: tuple[int, int] | None, partitions: dict[str, dict[str, list[str]]], singles: dict[str, list[str]]) -> None:
+    """What there is, where it came from and what it spans. partitions: dataset to year to files; singles: dataset to files. Footer sizes are read."""
     out: dict = {"h3_resolution": resolution, "source": source}
     if centre:
-        out["spatial_center"] = {"lat": centre[0], "lon": centre[1]}
+        out["spatial_center"] = list(centre)
     if date_range:
-        out["date_range"] = {"start": time.day_key(date_range[0]), "end": time.day_key(date_range[1])}
-    out["datasets"] = {name: [{"file": os.path.basename(f), "footer_bytes": footer_bytes(f)} for f in files] for name, files in datasets.items()}
-    _replace(path, json.dumps(out, indent=1, sort_keys=True))
+        out["date_range"] = {"min_date": time.day_key(date_range[0]), "max_date": time.day_key(date_range[1])}
+    sizes = lambda files: [footer_bytes(f) for f in files]
+    out["datasets"] = {n: {"path": n, "partitions": sorted(y), "partition_footer_sizes": {k: sizes(v) for k, v in sorted(y.items())}} for n, y in partitions.items()}
+    out["datasets"] |= {n: {"path": n, "partitions": [], "footer_size": sizes(f)} for n, f in singles.items() if f}
+    replace(path, json.dumps(out, indent=1))
+
+
+def files_of(folder: str) -> list[str]:
+    return sorted(os.path.join(folder, f) for f in os.listdir(folder) if f.endswith(".parquet")) if os.path.isdir(folder) else []
+
+
+def years_of(folder: str) -> dict[str, list[str]]:
+    """Year to files of a table partitioned by year."""
+    return {d.removeprefix("year="): files_of(os.path.join(folder, d)) for d in sorted(os.listdir(folder)) if d.startswith("year=")} if os.path.isdir(folder) else {}
 
 
 def footer_bytes(file: str) -> int:

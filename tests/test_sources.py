@@ -97,13 +97,14 @@ def test_feed_and_manifest(spark, tmp_path):
     s = spark.createDataFrame([(1, "a<b", 19_723, 3, 9, 600, 0.0, ["k"], ["FR"], 2, 1500, 4, 0), (2, "z", 19_724, 32, 1, 0, 0.0, [], [], 0, 0, 4, 1)], schemas.SUSPECTS)
     publish.feed(s, str(tmp_path / "feed.xml"))
     out = (tmp_path / "feed.xml").read_text()
-    assert out.index("<title>z on 2024-01-02") < out.index("a&lt;b on 2024-01-01") and "filter-2" in out and "<updated>2024-01-02" in out and "1.5 km" in out
+    assert out.index("<title>z - 2024-01-02 (1 changes)") < out.index("<title>a&lt;b - 2024-01-01 (9 changes)") and "filter-2" in out and "<updated>2024-01-02" in out and "2 far moves, largest 1.5 km" in out
+    assert len(__import__("xml.etree.ElementTree").etree.ElementTree.fromstring(out.encode()).findall("{http://www.w3.org/2005/Atom}entry")) == 2
     publish.feed(s.limit(0), str(tmp_path / "feed.xml"))
     assert "1970-01-01" in (tmp_path / "feed.xml").read_text()
     publish.suspects(s, str(tmp_path / "s"))
-    publish.manifest(str(tmp_path / "m.json"), 9, {"url": "u"}, (1.0, 2.0), (19_723, 19_724), {"suspect": [str(f) for f in (tmp_path / "s").glob("*.parquet")]})
+    publish.manifest(str(tmp_path / "m.json"), 9, {"url": "u"}, (1.0, 2.0), (19_723, 19_724), {}, {"suspect": publish.files_of(str(tmp_path / "s"))})
     m = json.loads((tmp_path / "m.json").read_text())
-    assert m["date_range"] == {"start": "2024-01-01", "end": "2024-01-02"} and m["datasets"]["suspect"][0]["footer_bytes"] > 8
+    assert m["date_range"] == {"min_date": "2024-01-01", "max_date": "2024-01-02"} and m["datasets"]["suspect"]["footer_size"][0] > 8
     assert rows(explore.query_parquet(spark, str(tmp_path / "s"), schemas.SUSPECTS, "uid = 2", ["uid"], 5)) == [(2,)]
     assert explore.query_parquet(spark, str(tmp_path / "none"), schemas.SUSPECTS).count() == 0
 
