@@ -20,7 +20,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     every.add_argument("--country-index", default="")
     every.add_argument("--country-names", default="")
     one = verbs.add_parser("import", parents=[every])
-    one.add_argument("versions", help="Parquet of all object versions")
+    one.add_argument("versions", help="all object versions: a history PBF file, or Parquet")
     two = verbs.add_parser("update", parents=[every])
     two.add_argument("count", nargs="?", type=int, help="at most so many diffs")
     two.add_argument("--diffs", required=True, help="folder of change documents")
@@ -59,14 +59,21 @@ def main(argv: list[str] | None = None) -> int:
         publish.replace(manifest, json.dumps(content, indent=1))
         return 0
     if got.verb == "import":
+        if got.versions.endswith(".pbf"):
+            from driftline.sources import pbf
+
+            pbf.register(spark)
+            versions = spark.read.format("history_pbf").load(got.versions)
+        else:
+            versions = files.versions(spark, got.versions)
         state = files.sidecar(got.versions)
         if os.path.exists(state):
             with open(state, encoding="utf-8") as f:
                 s = files.parse_state(f.read())
             options.source |= {"timestamp": s["timestamp"]}
-            runner.run_import(spark, files.versions(spark, got.versions), options, int(s["sequenceNumber"]))
+            runner.run_import(spark, versions, options, int(s["sequenceNumber"]))
         else:
-            runner.run_import(spark, files.versions(spark, got.versions), options)
+            runner.run_import(spark, versions, options)
         return 0
     places = None
     if got.country_index:

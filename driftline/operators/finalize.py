@@ -81,6 +81,12 @@ def country_of(points: DataFrame, index: DataFrame, names: DataFrame, leaf: str
     return points.join(hit, leaf, "left")
 
 
+def area_vote(parts: DataFrame) -> DataFrame:
+    """cell, iso: of the countries that share a cell the one with the largest area; on a tie the smaller code. parts: cell, iso, area."""
+    sums = parts.groupBy("cell", "iso").agg(F.sum("area").alias("area")).where("area > 0")
+    return sums.groupBy("cell").agg(F.min(F.struct((-F.col("area")).alias("a"), F.coalesce("iso", F.lit("")).alias("iso"))).alias("_w")).select("cell", F.nullif("_w.iso", F.lit("")).alias("iso"))
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, at: str, lo: str, hi: str, keep: list[str], width: int) -> DataFrame:
     """``points`` left-joined with the interval (inclusive, disjoint) that holds ``at``, by buckets of ``width``: an equi-join with a range."""
     cut = intervals.select(F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), *keep, F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width))).alias("_w"))

@@ -545,6 +545,39 @@ def bounded_distance(s, d):
     return docs.join(prev, "doc_id").select("doc_id", names.levenshtein_bounded(F.col("a"), F.col("b"), 4).alias("distance"))
 
 
+@query("SELECT cell, iso FROM (SELECT cell, iso, row_number() OVER (PARTITION BY cell ORDER BY area DESC, iso) AS r FROM (SELECT l_suppkey AS cell, l_returnflag || l_linestatus AS iso, sum(CAST(l_quantity AS BIGINT)) AS area FROM lineitem GROUP BY ALL)) WHERE r = 1")
+def area_vote(s, d):
+    parts = b.table(s, d, "lineitem").select(F.col("l_suppkey").alias("cell"), F.concat("l_returnflag", "l_linestatus").alias("iso"), F.col("l_quantity").cast("long").alias("area"))
+    return finalize.area_vote(parts)
+
+
+@query("SELECT id, CASE WHEN d > 0 THEN round(d, 3) ELSE 0 END AS meters FROM (SELECT id, 2 * 6371000.0 * atan2(sqrt(a), sqrt(1 - a)) AS d FROM (SELECT id, least(1.0, greatest(0.0, pow(sin(radians(value / 10 - k) / 2), 2) + cos(radians(CAST(k AS DOUBLE))) * cos(radians(value / 10)) * pow(sin(radians(k + 1.0) / 2), 2))) AS a FROM edits WHERE k < 90))", b.EDITS)
+def haversine(s, d):
+    e = b.edits(s, d).where("k < 90")
+    m = geo.haversine_m(F.col("k").cast("double"), F.lit(-1.0), F.col("value") / 10, F.col("k").cast("double"))
+    return e.select("id", F.round(m, 3).alias("meters"))
+
+
+@query(f"SELECT id, (cell * 64 + 7) & 70368744177663 AS packed, (((cell * 64 + 7) & 70368744177663) << 6) | {(1 << 59) | (9 << 52) | 0x3F} AS cell FROM (SELECT id, cell FROM edits)", b.EDITS)
+def packed_cells(s, d):
+    c = F.col("cell") * 4096 + 448
+    return b.edits(s, d).select("id", geo.pack_cell(c).alias("packed"), geo.unpack_cell(geo.pack_cell(c), 9).alias("cell"))
+
+
+@query(None)
+def last_name_tags(s, d):
+    return screens.last_tags(b.tagged(s, d)).withColumn("tags", F.to_json("tags"))
+
+
+@query(None)
+def hex_cells(s, d):
+    """Cells and their centres of suppliers' places at resolution 9."""
+    from driftline.functions import hexgrid
+
+    pts = b.centres(s, d).select(F.col("cell").alias("supplier"), "lat", "lon").withColumn("cell", hexgrid.cell_of("lat", "lon", F.lit(9)))
+    return pts.withColumn("c", hexgrid.centre_of("cell")).select("supplier", "cell", F.round("c.lat", 6).alias("lat"), F.round("c.lon", 6).alias("lon"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(Q)
 
