@@ -5,6 +5,7 @@ Every stage is written as Parquet and read again as the next one's documents. Al
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,12 +55,27 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs)
 
 
+_spent: list = []
+
+
+def _tidy(stage: Callable) -> Callable:
+    """A stage that first removes the scratch tables of the stages before it: its ``docs`` are written by then."""
+
+    @functools.wraps(stage)
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.drop(_spent)
+        with common.recorded(_spent):
+            return stage(spark, docs, sf_dir)
+
+    return call
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", toxicity_stage),
-    ("exact_dedup", exact_stage),
-    ("jaccard_join", near_stage),
-    ("substring_dedup", substring_stage),
-    ("packing", packing_stage),
+    ("toxicity", _tidy(toxicity_stage)),
+    ("exact_dedup", _tidy(exact_stage)),
+    ("jaccard_join", _tidy(near_stage)),
+    ("substring_dedup", _tidy(substring_stage)),
+    ("packing", _tidy(packing_stage)),
 ]
 
 #: A trained network and a tokenizer are no SQL: tests/llm holds the stages against brute force.
@@ -67,7 +83,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = common.written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            common.forget(before)
+        before = docs
     return docs

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -37,19 +38,57 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
+def drop(tables: list[tuple[SparkSession, str]]) -> None:
+    """Removes scratch tables that nothing reads any more, and empties the list."""
+    while tables:
+        one = tables.pop()
+        if one in _OWN:
+            _OWN.remove(one)
+            _drop(*one)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Removes tables that ``written`` gave, once all that was made of them is written too."""
+    drop([t._scratch for t in tables])
+
+
+@contextlib.contextmanager
+def recorded(into: list[tuple[SparkSession, str]]) -> Iterator[None]:
+    """Lists the tables written meanwhile, for ``drop``."""
+    before = len(_OWN)
+    try:
+        yield
+    finally:
+        into += _OWN[before:]
+
+
 @atexit.register
 def _sweep() -> None:
-    while _OWN:
-        _drop(*_OWN.pop())
+    drop(list(_OWN))
+
+
+@contextlib.contextmanager
+def _tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run meanwhile go when it has ended: its result is in the shared folder then."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: cuts lineage and outlives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/driftline/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
     _OWN.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    with _tidy(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = (spark, path)
+    return out
 
 
 def by_bytes(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:

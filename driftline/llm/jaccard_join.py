@@ -158,7 +158,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     met = common.written(spots.join(full, "pivot"), "met")
     central = met.groupBy("id").agg(F.sum("m").alias("degree"))
     lead = met.join(central, "id").groupBy("pivot").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("lead"))
-    met = common.written(met.select("pivot", "id", "n", "left").join(lead, "pivot"), "led")
+    led = common.written(met.select("pivot", "id", "n", "left").join(lead, "pivot"), "led")
+    common.forget(met)
+    met = led
     # hinted, so that the plan is the same at every size
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(met.select("id").distinct().hint("merge"), "id", "left_semi")
     texts = common.written(texts, "texts")
@@ -188,7 +190,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     for a, b in (("a", "b"), ("b", "a")):
         pairs = pairs.join(told.select(F.col("id").alias(a), F.col("lead").alias(b)), ["a", "b"], "left_anti")
-    second = compare(common.written(pairs, "pairs"), texts, k, num, den)
+    pairs = common.written(pairs, "pairs")
+    common.forget(met, left)
+    second = compare(pairs, texts, k, num, den)
     same = base.where("head <> id").select(F.col("id").alias("a"), F.col("head").alias("b"))
     comp = common.written(graph.components(links.unionByName(second).unionByName(same)), "components")
     return base.join(comp, F.col("id") == F.col("node"), "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("comp", "id").alias("component_id"))

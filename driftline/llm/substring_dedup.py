@@ -138,6 +138,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     near = spots.join(firsts.where("m > 1").select("key", "size", "lid", "lseg"), ["key", "size"]).where("id <> lid").select("id", "seg", "lid", "lseg")
     heads = firsts.where("lid <> hid").select(F.col("lid").alias("id"), F.col("lseg").alias("seg"), F.col("hid").alias("lid"), F.col("hseg").alias("lseg"))
     pairs = common.written(near.unionByName(heads).distinct(), "pairs")
+    common.forget(base, firsts)
     need = pairs.select("id", "seg").unionByName(pairs.select(F.col("lid").alias("id"), F.col("lseg").alias("seg")))
     sets = common.written(_sets(need, docs, id_col, text_col).withColumn("node", F.monotonically_increasing_id()), "sets")
     of = lambda i, g, c: sets.select(F.col("id").alias(i), F.col("seg").alias(g), F.col("node").alias(c), F.array_distinct("shingles").alias(f"s{c}"))
