@@ -564,6 +564,46 @@ def packed_cells(s, d):
     return b.edits(s, d).select("id", geo.pack_cell(c).alias("packed"), geo.unpack_cell(geo.pack_cell(c), 9).alias("cell"))
 
 
+_SECOND = "SELECT uid, CASE WHEN username NOT LIKE '<%' THEN username END AS n1, username AS u1, first_seen_day AS f1, " + ", ".join(f"{c} AS z_{c}" for c in COUNTERS) + " FROM t1"
+
+
+@query(
+    "SELECT uid, coalesce(n1, username, u1) AS username, least(first_seen_day, f1) AS first_seen_day, " + ", ".join(f"CAST(coalesce({c}, 0) + coalesce(z_{c}, 0) AS BIGINT) AS {c}" for c in COUNTERS) + f" FROM t0 FULL JOIN ({_SECOND}) z USING (uid)",
+    b.VERSIONS, DAYS, TOTALS.replace("totals AS", "t0 AS").replace("FROM days", "FROM days WHERE day % 2 = 0"), TOTALS.replace("totals AS", "t1 AS").replace("FROM days", "FROM days WHERE day % 2 = 1"),
+)
+def merged_totals(s, d):
+    days = activity.user_days(b.versions(s, d))
+    return activity.merged_totals(activity.totals(days.where("day % 2 = 0")), activity.totals(days.where("day % 2 = 1")))
+
+
+@query("SELECT uid, change_date, CAST(sum(count) AS BIGINT) AS count, bit_or(suspect_flag) AS suspect_flag FROM (SELECT uid, change_date, count, CAST(change_date % 4 AS INTEGER) AS suspect_flag FROM merged UNION ALL SELECT uid, change_date, count, suspect_flag FROM merged WHERE uid % 2 = 0) GROUP BY ALL", b.VERSIONS, DAYS, HALF)
+def folded_history(s, d):
+    rows = _merged(s, d).drop("from_base")
+    twice = rows.withColumn("suspect_flag", (F.col("change_date") % 4).cast("int")).unionByName(rows.where("uid % 2 = 0"))
+    return finalize.folded(twice)
+
+
+@query("""SELECT doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#39;') AS shown FROM documents WHERE text IS NOT NULL""")
+def escaped_texts(s, d):
+    return b.table(s, d, "documents").where("text is not null").select("doc_id", text.escape_xml(F.col("text")).alias("shown"))
+
+
+@query(f"SELECT DISTINCT year FROM staged WHERE seq > {STAMP}", b.STAGED)
+def touched_years(s, d):
+    return incremental.touched_years(b.staged(s, d), STAMP)
+
+
+@query("SELECT id, uid, minute FROM edits WHERE NOT (visible AND version = 1)", b.EDITS)
+def without_creates(s, d):
+    return edits.without_creates(b.edits(s, d)).select("id", "uid", "minute")
+
+
+@query("SELECT doc_id, 'name:' || lang AS key, lang FROM documents")
+def name_languages(s, d):
+    key = F.concat(F.lit("name:"), F.col("lang"))
+    return b.table(s, d, "documents").select("doc_id", key.alias("key"), names.name_lang(key).alias("lang"))
+
+
 @query(None)
 def last_name_tags(s, d):
     return screens.last_tags(b.tagged(s, d)).withColumn("tags", F.to_json("tags"))
