@@ -24,8 +24,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with these ids (doc_id, times); of rows that repeat an id and its text, one. Rows without id stay."""
-    kept = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    """The rows of ``docs`` with these ids (doc_id, times); of rows that repeat an id and its text, one. Rows without id stay.
+
+    The hint makes the plan the same at every size.
+    """
+    kept = docs.join(ids.hint("merge"), docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
     if ids.agg(F.count("doc_id") < F.sum("times")).first()[0]:
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept

@@ -173,7 +173,8 @@ def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", tex
             out = pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(rest))), pa.array(texts, pa.binary()).cast(pa.string())], [*rest, text_col])
             yield out.filter(pa.array(keep, pa.bool_()))
 
-    joined = docs.join(cuts, id_col, "left").select(*rest, text_col, cuts_col)
+    # hinted, so that the plan is the same at every size
+    joined = docs.join(cuts.hint("merge"), id_col, "left").select(*rest, text_col, cuts_col)
     return joined.mapInArrow(run, docs.select(*rest, text_col).schema).select(*docs.columns)
 
 
