@@ -5,8 +5,11 @@ least among RADIUS words on either side. So inside a passage the same paragraphs
 
 1. Each paragraph's five-word shingles give one MinHash value a band; ``bands_for`` tunes the number of bands (of one row each)
    to the recall that is asked for at the threshold. 2 bands find 96 % at 0.8, and equal paragraphs always.
-2. Paragraphs that collide in a band are compared with the band's first of the same size, and these firsts with the
-   first of all: exact Jaccard of the whole shingle sets, made again from the whole texts.
+2. Paragraphs that collide in a band are made again from the whole texts; those with the same shingle set are one content from there on.
+   Every two contents that collide in a band and have a Jaccard similarity of the threshold or more end in one cluster: no bucket is capped.
+   Two such sets share one of their first n/5 + 1 shingles in any common order (here rarest first), so a bucket falls into regions by
+   these. Each content is compared with its regions' most central one; components follow; in regions that are not one component
+   the pairs of different components are compared, unless their sizes or what is left of both sets from that shingle on rule it out.
 3. Components of the links are clusters. The first place (document, paragraph) of a cluster stays; in other documents
    the paragraph is to be removed, where such paragraphs in a row have at least MIN_WORDS words. Repeats inside one document stay.
 
@@ -86,14 +89,13 @@ def _paragraphs(docs: DataFrame, id_col: str, text_col: str, bands: int) -> Data
     return docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(run, "id long, seg array<int>, size array<int>" + "".join(f", k{i} array<long>" for i in range(bands)))
 
 
-def _sets(need: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, seg, n_words, start, end and the shingles of the paragraphs (id, seg) asked for."""
-    asked = need.groupBy("id").agg(F.collect_set("seg").alias("segs"))
+def _sets(asked: DataFrame, docs: DataFrame, id_col: str, text_col: str, bands: int) -> DataFrame:
+    """id, seg, n_words, start, end, node (a hash of the shingle set), its size n, keys and shingles of the paragraphs (id, segs) asked for."""
     # hinted, so that the plan is the same at every size
     rows = asked.hint("merge").join(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id").select("id", "segs", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "seg", "n_words", "start", "end", "shingles"]
+        names = ["id", "seg", "n_words", "start", "end", "node", "n", "keys", "shingles"]
         for b in common.by_bytes(batches, "text", 2 << 20):
             ids, col = b.column(0).to_numpy(), b.column(2)
             parts: list[list[np.ndarray]] = [[] for _ in range(7)]
@@ -116,10 +118,69 @@ def _sets(need: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataF
                         c.append(v)
             if parts[0]:
                 one, seg, n, start, end, size, flat = (np.concatenate(c) for c in parts)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(seg.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(start), pa.array(end), pa.ListArray.from_arrays(offsets, pa.array(flat))], names)
-
-    return rows.mapInArrow(run, "id long, seg int, n_words int, start long, end long, shingles array<long>")
+                which, flat = np.repeat(np.arange(len(size)), size), flat.view(np.uint64)
+                order = np.lexsort((flat, which))
+                flat = flat[order]
+                new = np.concatenate([[True], (flat[1:] != flat[:-1]) | (which[1:] != which[:-1])])
+                flat, size = flat[new], np.bincount(which[new], minlength=len(size))
+                first = np.cumsum(size) - size
+                node = words.mix(np.add.reduceat(words.mix(flat ^ words.PLACES[29]), first) + size.astype(np.uint64))
+                # the key of band i is moved by i, so that a value does not meet the same value in another band
+                keys = np.stack([np.minimum.reduceat(words.mix(flat ^ words.PLACES[30 + i]), first) ^ np.uint64(i) for i in range(bands)], axis=1)
+                lists = lambda ends, values: pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(seg.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(start), pa.array(end), pa.array(node.view(np.int64)), pa.array(size.astype(np.int32)), lists(np.arange(len(size) + 1) * bands, keys.ravel()), lists(np.append(first, len(flat)), flat)], names)
+
+    return rows.mapInArrow(run, "id long, seg int, n_words int, start long, end long, node long, n int, keys array<long>, shingles array<long>")
+
+
+def _compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Of the pairs (a, b) of nodes those that link."""
+    of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
+    both = F.size(F.array_intersect("sa", "sb"))
+    return pairs.join(of("a").hint("merge"), "a").join(of("b").hint("merge"), "b").where(both * den >= (F.size("sa") + F.size("sb") - both) * num).select("a", "b")
+
+
+def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) of nodes whose components are those of all pairs that share a key and link."""
+    nodes = sets.groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
+    spots = nodes.select("node", "n", F.explode(F.array_distinct("keys")).alias("key"))
+    # two sets of one size n have at most n - 1 in common
+    alike = (F.col("n") - 1) * (num + den) >= 2 * num * F.col("n")
+    able = F.count("n").alias("m"), F.min("n").alias("n0"), F.max("n").alias("n1"), F.max(alike).alias("alike")
+    full = spots.groupBy("key").agg(*able).where("m > 1 and (alike or n0 < n1)").select("key")
+    spots = common.written(spots.join(full.hint("merge"), "key"), "spots")
+    sets = sets.select("node", "n", "shingles").join(spots.select("node").distinct().hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+    sets = common.written(sets, "contents")
+    one = sets.select("node", "n", F.explode("shingles").alias("pivot"))
+    rare = one.groupBy("pivot").agg(F.count("node").alias("c"))
+    near = F.col("n") - F.ceil(F.col("n") * num / F.lit(den)).cast("int") + 1
+    order = one.join(rare.hint("merge"), "pivot").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "pivot"))).alias("order"))
+    pivots = order.select("node", F.posexplode(F.slice("order", F.lit(1), near)).alias("at", "p")).select("node", "at", "p.pivot")
+    # left: how many shingles of the set come from this pivot on
+    met = spots.join(pivots.hint("merge"), "node").select("key", "pivot", "node", "n", (F.col("n") - F.col("at")).alias("left"))
+    full = met.groupBy("key", "pivot").agg(*able).where("m > 1 and (alike or n0 < n1)").select("key", "pivot", "m")
+    met = common.written(met.join(full.hint("merge"), ["key", "pivot"]), "met")
+    central = met.groupBy("node").agg(F.sum("m").alias("degree"))
+    lead = met.join(central.hint("merge"), "node").groupBy("key", "pivot").agg(F.max_by(F.struct("node", "n"), F.struct("degree", "node")).alias("l"))
+    size = lambda x, y: (F.least(x, y) * den >= F.greatest(x, y) * num) & ((x != y) | ((x - 1) * (num + den) >= 2 * num * x))
+    asked = met.join(lead.hint("merge"), ["key", "pivot"]).where((F.col("node") != F.col("l.node")) & size(F.col("n"), F.col("l.n")))
+    pair = F.greatest("node", "l.node").alias("a"), F.least("node", "l.node").alias("b")
+    told = common.written(asked.select(*pair).distinct(), "told")
+    links = common.written(_compare(told, sets, num, den), "links")
+    comp = graph.components(links)
+    here = met.join(comp.hint("merge"), "node", "left").select("key", "pivot", "node", "n", "left", F.coalesce("comp", "node").alias("comp"))
+    open_ = here.groupBy("key", "pivot").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key", "pivot")
+    here = common.written(here.join(open_.hint("merge"), ["key", "pivot"]), "open")
+    # a set of n and a larger or equal one of m: n >= num / den * m, and min(left, left) * (num + den) >= num * (n + m)
+    most = F.floor(F.col("left") * (num + den) / F.lit(num)).cast("int") - F.col("n")
+    small = F.least(F.floor(F.col("n") * den / F.lit(num)).cast("int"), most)
+    large = F.ceil(F.col("n") * num / F.lit(den)).cast("int")
+    x = here.where(small >= F.col("n")).select("key", "pivot", "n", F.explode(F.sequence("n", small)).alias("m"), F.col("node").alias("x"), F.col("comp").alias("xc"))
+    y = here.where(F.least("n", most) >= large).select("key", "pivot", F.explode(F.sequence(large, F.least("n", most))).alias("n"), F.col("n").alias("m"), F.col("node").alias("y"), F.col("comp").alias("yc"))
+    pairs = x.join(y.hint("merge"), ["key", "pivot", "n", "m"]).where((F.col("xc") != F.col("yc")) & size(F.col("n"), F.col("m")))
+    pairs = common.written(pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct().join(told.hint("merge"), ["a", "b"], "left_anti"), "pairs")
+    common.forget(spots, met, here)
+    return common.written(links.unionByName(_compare(pairs, sets, num, den)), "links")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4, den: int = 5, recall: float = RECALL, min_words: int = MIN_WORDS) -> DataFrame:
@@ -132,21 +193,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         one = base.select("id", F.explode(F.arrays_zip("seg", "size", f"k{i}")).alias("p")).select(F.col(f"p.k{i}").bitwiseXOR(F.lit(i)).alias("key"), F.col("p.size").alias("size"), "id", F.col("p.seg").alias("seg"))
         spots = one if spots is None else spots.unionByName(one)
     # numbers only, so that Spark can sum up in hash tables
-    firsts = spots.groupBy("key", "size").agg(F.min("id").alias("lid"), F.min_by("seg", "id").alias("lseg"), F.count("id").alias("m"))
-    full = firsts.groupBy("key").agg(F.sum("m").alias("km"), F.min("lid").alias("hid"), F.min_by("lseg", "lid").alias("hseg")).where("km > 1")
-    firsts = common.written(firsts.join(full, "key").where("m > 1 or lid <> hid"), "firsts")
-    near = spots.join(firsts.where("m > 1").select("key", "size", "lid", "lseg"), ["key", "size"]).where("id <> lid").select("id", "seg", "lid", "lseg")
-    heads = firsts.where("lid <> hid").select(F.col("lid").alias("id"), F.col("lseg").alias("seg"), F.col("hid").alias("lid"), F.col("hseg").alias("lseg"))
-    pairs = common.written(near.unionByName(heads).distinct(), "pairs")
-    common.forget(base, firsts)
-    need = pairs.select("id", "seg").unionByName(pairs.select(F.col("lid").alias("id"), F.col("lseg").alias("seg")))
-    sets = common.written(_sets(need, docs, id_col, text_col).withColumn("node", F.monotonically_increasing_id()), "sets")
-    of = lambda i, g, c: sets.select(F.col("id").alias(i), F.col("seg").alias(g), F.col("node").alias(c), F.array_distinct("shingles").alias(f"s{c}"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    links = pairs.join(of("id", "seg", "a"), ["id", "seg"]).join(of("lid", "lseg", "b"), ["lid", "lseg"]).where(both * den >= (F.size("sa") + F.size("sb") - both) * num).select("a", "b")
-    places = sets.drop("shingles").join(graph.components(links), "node")
-    keep = places.groupBy("comp").agg(F.min("id").alias("keep_id"))
-    gone = places.join(keep, "comp").where("id <> keep_id").groupBy("id", "seg").agg(F.first("n_words").alias("n_words"), F.first("start").alias("start"), F.first("end").alias("end"), F.min("keep_id").alias("keep_id"))
+    full = spots.groupBy("key").agg(F.count("id").alias("m")).where("m > 1").select("key")
+    asked = common.written(spots.join(full.hint("merge"), "key").groupBy("id").agg(F.collect_set("seg").alias("segs")), "asked")
+    common.forget(base)
+    sets = common.written(_sets(asked, docs, id_col, text_col, bands), "sets")
+    comp = common.written(graph.components(_links(sets, num, den)), "components")
+    places = sets.select("id", "seg", "n_words", "start", "end", "node").join(comp.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    keep = places.groupBy("comp").agg(F.min("id").alias("keep_id"), F.max("id").alias("last")).where("keep_id < last").drop("last")
+    gone = places.join(keep.hint("merge"), "comp").where("id <> keep_id").groupBy("id", "seg").agg(F.first("n_words").alias("n_words"), F.first("start").alias("start"), F.first("end").alias("end"), F.min("keep_id").alias("keep_id"))
     run = F.col("seg") - F.row_number().over(Window.partitionBy("id").orderBy("seg"))
     spans = gone.withColumn("run", run).groupBy("id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"), F.count("seg").alias("n_paragraphs"), F.min_by("keep_id", "seg").alias("keep_id"))
     return spans.where(F.col("n_words") >= min_words).select(F.col("id").alias(id_col), "start", "end", "n_words", "n_paragraphs", "keep_id")

@@ -152,6 +152,57 @@ def test_passages_are_found_and_clean_texts_left(spark, docs):
     assert all(left[i] == texts[i] for i in clean) and all(left[ids[0]] == texts[ids[0]] for ids in planted.values())
 
 
+def cut_paragraphs(texts, num=4, den=5):
+    """(document, paragraph) of all that go, by all pairs of paragraphs that share a band's key."""
+    import numpy as np
+    import pyarrow as pa
+
+    from driftline.llm import words as hashed
+
+    places, buckets = [], {}
+    for i, w in enumerate(hashed.of_texts(pa.array(texts))):
+        at = substring_dedup.starts(w)
+        ends = np.append(at[1:], len(w))
+        fit, _, keys = substring_dedup.signatures(w, at, 2)
+        for f, k in zip(fit.tolist(), keys.tolist(), strict=True):
+            for b in range(2):
+                buckets.setdefault((b, k[b]), []).append(len(places))
+            places.append((i, f, set(hashed.shingles(w[at[f] : ends[f]]).tolist()), int(ends[f] - at[f])))
+    edges = {(x, y) for got in buckets.values() for x, y in itertools.combinations(got, 2) if den * len(places[x][2] & places[y][2]) >= num * len(places[x][2] | places[y][2])}
+    comp = list(range(len(places)))
+
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    for x, y in edges:
+        u, v = find(x), find(y)
+        comp[max(u, v)] = min(u, v)
+    return {p[:2]: p[3] for n, p in enumerate(places) if places[find(n)][0] != p[0]}
+
+
+@pytest.mark.parametrize("num,den,recall", [(4, 5, 0.95), (1, 2, 0.7)])  # two bands each
+def test_paragraphs_against_all_pairs(spark, docs, num, den, recall):
+    r = random.Random(21)
+    texts = []
+    for _ in range(60):  # variants ahead of exact copies, and copies with a word more or another word
+        p = words(r, r.choice([11, 14, 30, 60]), 9_000).split()
+        group = []
+        for _ in range(6):
+            q = list(p)
+            q[r.choice([-1, 0, r.randrange(len(q))])] = "other" + str(r.randrange(99))
+            group.append(q)
+        group += [p, p, p, p + ["more"], ["more", *p], p[: len(p) // 2] + ["more"] + p[len(p) // 2 :]]
+        if r.random() < 0.5:
+            r.shuffle(group)
+        texts += [words(r, 3, 9_000) + " " + " ".join(q) + " " + words(r, 3, 9_000) for q in group]
+    texts += [" ".join([texts[k], texts[k + 1], texts[k]]) for k in range(0, 200, 7)]
+    want = cut_paragraphs(texts, num, den)
+    got = substring_dedup.repeated_spans(docs(texts).repartition(5), num=num, den=den, recall=recall, min_words=1).collect()
+    assert sum(s.n_paragraphs for s in got) == len(want) and sum(s.n_words for s in got) == sum(want.values())
+
+
 def test_near_paragraphs(spark, docs):
     r = random.Random(2)
     p = words(r, 400, 9_000).split()
