@@ -121,6 +121,25 @@ def test_threshold_with_large_numbers():
     assert sorted(zip(i, s, strict=True)) == [(0, (1 << 60) + 5), (1, (1 << 60) + 6)]
 
 
+def test_the_kth_score_goes_along(spark):
+    """On clustered vectors most pairs of other blocks are never scored; the result stays that of all pairs."""
+    r = np.random.default_rng(1)
+    centres = r.normal(0, 1, (40, 8))
+    v = [(i, [float(x) for x in (lambda y: y / np.linalg.norm(y))(centres[i % 40] + r.normal(0, 0.05, 8))]) for i in range(1_600)]
+    df = spark.createDataFrame(v, "vec_id long, embedding array<double>")
+    got = topk.exact_top_k(df, candidates=100, queries=20)
+    assert sorted(tuple(x) for x in got.collect()) == scores(v)
+    told = topk.report(df, candidates=100, queries=20)
+    assert told["pairs"] == 80 * 1_599 and told["scored"] < 0.6 * told["pairs"]
+
+
+def test_floor_leaves_out_what_cannot_win():
+    c = np.array([[9, 0], [8, 0], [7, 0], [1, 5]])
+    r, i, s, scored = topk.search(c, np.array([[1, 0]]), np.array([-1]), 2, depth=1, floor=np.array([8], object))
+    assert sorted(zip(i, s, strict=True)) == [(0, 9), (1, 8)] and scored < 4
+    assert topk.search(c, np.array([[1, 0]]), np.array([-1]), 2, floor=np.array([10], object))[3] == 0
+
+
 def test_top_k_of_nothing(spark):
     assert topk.exact_top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
