@@ -7,6 +7,22 @@ from pyspark.sql import functions as F
 
 from . import common
 
+#: At most so many nodes are broadcast at a time, and only nodes with more edges than LIGHT.
+HUBS, LIGHT = 10_000, 1_000
+
+
+def _with_least(edges: DataFrame, total: int) -> DataFrame:
+    """The edges (a, b) with m, the smallest b of each a.
+
+    A node that holds a large share of all edges (the centre of a group of copies) never meets them in one task: the smallest b comes from
+    partial minima, and nodes of more than total / HUBS edges get it from a broadcast table, which so has fewer than HUBS rows.
+    """
+    least = common.written(edges.groupBy("a").agg(F.min("b").alias("m"), F.count("b").alias("d")), "least")
+    hubs = least.where(F.col("d") > max(LIGHT, total // HUBS)).select("a", F.col("m").alias("hub"))
+    split = edges.join(F.broadcast(hubs), "a", "left")
+    light = split.where("hub is null").select("a", "b").join(least.select("a", "m").hint("merge"), "a").select("a", "b", "m")
+    return light.unionByName(split.where("hub is not null").select("a", "b", F.col("hub").alias("m")))
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) of each node of the edges (a, b), of any type with an order; comp is the component's smallest node.
@@ -17,15 +33,18 @@ def components(edges: DataFrame) -> DataFrame:
         out = common.written(df.distinct(), "edges")
         return out, tuple(out.agg(F.count("a"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
+    spent: list = []
     now, mark = sealed(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     while mark[0]:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
+        with common.recorded(spent):
+            both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            large = _with_least(both, 2 * mark[0]).where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
+            large = common.written(large.distinct(), "large")
+            small = _with_least(large, mark[0]).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
+            small = small.select("e.a", "e.b").where("a <> b")
         old, (now, after) = now, sealed(small)
         common.forget(old)
+        common.drop(spent)
         if after == mark:
             break
         mark = after

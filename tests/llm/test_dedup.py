@@ -118,6 +118,44 @@ def test_jaccard_components(spark, docs, seed):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got.collect()} == brute(dict(enumerate(texts)))
 
 
+@pytest.mark.parametrize("parts,leaf", [(1, 256), (3, 2), (7, 1)])
+def test_jaccard_of_repeated_ids(spark, docs, parts, leaf):
+    """An id with several texts is one document, however the rows are dealt and the regions split."""
+    r = random.Random(17)
+    texts = near_copies(r) + [None, "", "one"]
+    rows = [(r.randrange(len(texts)) if r.random() < 0.3 else i, t) for i, t in enumerate(texts)] + [(7, "w1a " * 9), (7, texts[3])]
+    nodes = brute({n: t for n, (_, t) in enumerate(rows)})
+    par = {i: i for i, _ in rows}
+
+    def find(x):
+        while par[x] != x:
+            x = par[x]
+        return x
+
+    for n, (i, _) in enumerate(rows):
+        u, v = find(i), find(rows[nodes[n][1]][0])
+        par[max(u, v)] = min(u, v)
+    got = jaccard_join.jaccard_components(docs(rows).repartition(parts), leaf=leaf).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == sorted((i, nodes[n][0], find(i)) for n, (i, _) in enumerate(rows))
+
+
+def test_jaccard_example_of_a_lost_link(spark, docs):
+    a, b = "a b c d e f g h i j", "k l m n o p q r s t u v"
+    for parts in (1, 3):
+        got = jaccard_join.jaccard_components(docs([(7, a), (7, b), (9, b + " more")]).repartition(parts)).collect()
+        assert {x.component_id for x in got} == {7}
+
+
+@pytest.mark.parametrize("leaf", [1, 3, 256])
+def test_jaccard_split_regions(spark, docs, leaf):
+    """Templates whose fields vary: many share their rarest shingles and few link. Any size of leaf gives the same components."""
+    r = random.Random(23)
+    fields = [[words(r, 6, 90_000) for _ in range(4)] for _ in range(4)]
+    texts = [" ".join(r.choice(f) for f in fields) + " " + words(r, r.randrange(0, 4), 90) for _ in range(250)]
+    got = jaccard_join.jaccard_components(docs(texts).repartition(3), leaf=leaf)
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got.collect()} == brute(dict(enumerate(texts)))
+
+
 def test_jaccard_odd(spark, odd):
     got = jaccard_join.jaccard_components(odd).collect()
     by = {x.doc_id: x for x in got if x.doc_id is not None}
