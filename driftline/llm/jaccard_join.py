@@ -202,8 +202,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     heads = base.where("own")
     sets = heads.select("node", "n", "k1", "k2")
     same = sets.groupBy("n", "k1", "k2").agg(F.min("node").alias("b"), F.count("node").alias("c")).where("c > 1")
-    links = common.written(sets.join(same.hint("merge"), ["n", "k1", "k2"]).where("node <> b").select(F.col("node").alias("a"), "b"), "same")
-    comp = common.written(graph.components(links), "components")
+    comp = common.written(sets.join(same.hint("merge"), ["n", "k1", "k2"]).select("node", F.col("b").alias("comp")), "components")
     # left: how many shingles of the document come from this one on, in the order of all
     near = F.expr(f"cast(n - (({num} * n + {den - 1}) div {den}) + 1 as int)")
     spots = heads.select("node", "n", F.posexplode(F.slice("pivots", F.lit(1), near)).alias("at", "key"))
