@@ -46,7 +46,8 @@ class Bpe:
             raise ValueError("added tokens that take in what stands around them are not supported")
         as_byte = _bytes_of_chars()
         ranks = {bytes(as_byte[c] for c in k): v for k, v in spec["model"]["vocab"].items() if k not in self.added}
-        self._encode = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        coder = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._encode, self._batch = coder.encode_ordinary, coder.encode_ordinary_batch
         size = max([*ranks.values(), *self.added.values()]) + 1
         self.bytes: list[bytes] = [b""] * size
         for k, v in ranks.items():
@@ -56,15 +57,24 @@ class Bpe:
         self.names = [str(i) for i in range(size)]
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
 
-    def encode(self, text: str) -> list[int]:
+    def parts(self, text: str) -> list[tuple[str, int | None]]:
+        """``text`` cut at added tokens: (part, id), the id only of an added token."""
         if self._split is None or not any(a in text for a in self.added):
-            return self._encode(text)
+            return [(text, None)]
+        return [(p, self.added.get(p)) for p in self._split.split(text) if p]
+
+    def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        for part in self._split.split(text):
-            if part in self.added:
-                out.append(self.added[part])
-            elif part:
-                out += self._encode(part)
+        for part, own in self.parts(text):
+            out += [own] if own is not None else self._encode(part)
+        return out
+
+    def lengths(self, texts: list[str]) -> list[int]:
+        """How many ids each text has, by one call for all parts of the batch."""
+        cut = [(k, part, own) for k, t in enumerate(texts) for part, own in self.parts(t)]
+        out = [0] * len(texts)
+        for (k, _, own), ids in zip(cut, self._batch([part for _, part, _ in cut], num_threads=1), strict=True):
+            out[k] += len(ids) if own is None else 1
         return out
 
     def decode_bytes(self, ids: list[int]) -> bytes:

@@ -135,12 +135,17 @@ class ChunkCoder:
             k *= 2
 
     def encode(self, text: str) -> list[int]:
+        """Ids of a whole text. Added tokens stand for themselves and no token reaches over them: what lies between is encoded by chunks."""
+        ids: list[int] = []
+        for part, own in self.bpe.parts(text):
+            ids += [own] if own is not None else self.plain(part)
+        return ids
+
+    def plain(self, text: str) -> list[int]:
         ends, _ = cuts(text)
         if len(ends) == 1:
             return self.chunk(text) if text else []
         parts = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-        if any(s in text for s in self.bpe.added):  # an added token may lie across a cut
-            return self.bpe.encode(text)
         ids: list[int] = []
         open_text, open_ids = parts[0], self.chunk(parts[0])
         for part in parts[1:]:

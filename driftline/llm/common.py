@@ -20,22 +20,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only where the session names none (tests), a local one is set."""
+    """The folder that driver and executors share. Where the session names none, a local one is set, but only if there is no other machine."""
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="driftline-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
 def _drop(spark: SparkSession, path: str) -> None:
-    try:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
-    except Exception:  # noqa: BLE001  the session may have ended; the folder is a scratch one
-        pass
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():  # the session has ended
+        return
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)
 
 
 def drop(tables: list[tuple[SparkSession, str]]) -> None:
@@ -105,3 +106,17 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Itera
         if at < batch.num_rows:
             yield batch.slice(at)
 
+
+def balanced(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of ``column`` (or a single row): larger ones are cut and smaller ones joined."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for b in by_bytes(batches, column, most):
+        n = pa.compute.sum(pa.compute.binary_length(b.column(b.schema.get_field_index(column)))).as_py() or 0
+        if held and total + n > most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, total = [], 0
+        held.append(b)
+        total += n
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()

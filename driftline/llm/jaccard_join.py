@@ -42,13 +42,19 @@ SLICES = 32
 PROFILE = 32
 BLOCK = 256
 LEADER_ROUNDS = 2
-LEAF = 256
+LEAF = 2_048
 LEVELS = 3
 
 
-def shingle_set(word_hashes: np.ndarray, k: int = 5) -> np.ndarray:
-    """Sorted distinct shingle hashes."""
-    return np.unique(words.shingles(word_hashes, k))
+def distinct(shingles: np.ndarray) -> np.ndarray:
+    """Sorted distinct hashes."""
+    s = np.sort(shingles)
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+
+
+def counter(shingles: np.ndarray) -> np.ndarray:
+    """The counter of each shingle."""
+    return (shingles >> np.uint64(44)).astype(np.int64) & (COUNTERS - 1)
 
 
 def count_table(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
@@ -57,8 +63,9 @@ def count_table(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for b in batches:
-            for w in words.of_texts(b.column(0)):
-                np.add.at(total, (words.shingles(w, k) >> np.uint64(44)).astype(np.int64) & (COUNTERS - 1), 1)
+            for _, _, raw, off in words.blocks(b.column(0)):
+                h, _, _, first = words.word_hashes(raw, off)
+                total += np.bincount(counter(words.runs(h, first, k)[0]), minlength=COUNTERS)
         parts = total.astype(np.uint32).reshape(SLICES, -1)
         yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["slice", "counts"])
 
@@ -96,8 +103,8 @@ def regions(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den:
         base, nodes = TaskContext.get().partitionId() << 32, {}
         for b in common.by_bytes(batches, text_col, 8 << 20):
             rows: list[tuple] = []
-            for i, t, w in zip(b.column(0).to_pylist(), b.column(1), words.of_texts(b.column(1)), strict=True):
-                s = shingle_set(w, k)
+            for i, t, s in zip(b.column(0).to_pylist(), b.column(1), words.shingles_of(b.column(1), k), strict=True):
+                s = distinct(s)
                 if not len(s) or i is None:
                     rows.append((i, len(s), None, False, None, None, None, None, None))
                     continue
@@ -107,7 +114,7 @@ def regions(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den:
                     continue
                 nodes[key] = node = base + len(nodes)
                 near = len(s) - -(-num * len(s) // den) + LEVELS
-                order = np.lexsort((s, rare[(s >> np.uint64(44)).astype(np.int64) & (COUNTERS - 1)]))[:near]
+                order = np.argsort(rare[counter(s)], kind="stable")[:near]  # of equally rare ones the smaller first
                 profile = np.bincount((s & np.uint64(PROFILE - 1)).astype(np.int64), minlength=PROFILE).astype(np.int32)
                 rows.append((i, len(s), node, True, key[1], key[2], t.as_py(), s[order].view(np.int64), profile))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -131,8 +138,8 @@ def compare(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> D
         at, pivot = None, None
         for batch in common.by_bytes(batches, "text", 8 << 20):
             out: list[list] = [[], [], [], []]
-            for i, b, role, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), words.of_texts(batch.column(3)), strict=True):
-                s = shingle_set(w, k)
+            for i, b, role, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), words.shingles_of(batch.column(3), k), strict=True):
+                s = distinct(s)
                 if role == 0:
                     at, pivot = b, s
                     continue
@@ -176,10 +183,11 @@ def _pairs(rows: DataFrame, num: int, den: int, classes: bool = False) -> DataFr
 def _candidates(rows: DataFrame, heads: DataFrame, num: int, den: int, leaf: int) -> DataFrame:
     """Distinct pairs of all regions (rows: those of ``_sized``); regions of more than ``leaf`` documents are split by the next shingles that are common in them."""
     found, level = None, 1
-    cols = ["key", "node", "n", "at", "left", "comp", "lead", "apart", "profile"]
+    cols = ["key", "node", "n", "at", "left", "comp", "lead", "apart"]
+    profiles = heads.select("node", "profile").hint("merge")
     near = F.expr(f"n - (({num} * n + {den - 1}) div {den})").cast("int")
     while True:
-        here = common.written((rows if "m" in rows.columns else _sized(rows)).select(*cols, "m"), "open")
+        here = common.written((rows if "m" in rows.columns else _sized(rows)).select(*cols, "m").join(profiles, "node"), "open")
         small = _pairs(here.where(F.col("m") <= leaf), num, den)
         found = small if found is None else found.unionByName(small)
         large = here.where(F.col("m") > leaf)
@@ -190,7 +198,7 @@ def _candidates(rows: DataFrame, heads: DataFrame, num: int, den: int, leaf: int
             break
         level += 1
         # of the shingles after the last common one, those up to place n/5 + level
-        some = large.drop("m").join(heads.select("node", "pivots").hint("merge"), "node").select(*cols, F.slice("pivots", F.col("at") + 2, F.greatest(F.lit(0), near + (level - 1) - F.col("at"))).alias("next"))
+        some = large.join(heads.select("node", "pivots").hint("merge"), "node").select(*cols, F.slice("pivots", F.col("at") + 2, F.greatest(F.lit(0), near + (level - 1) - F.col("at"))).alias("next"))
         some = some.select(*cols, F.posexplode("next").alias("j", "pivot")).withColumn("key", F.xxhash64("key", "pivot")).withColumn("at", F.col("at") + 1 + F.col("j"))
         rows = some.withColumn("left", (level - 1) + F.col("n") - F.col("at"))
     return found.distinct()
@@ -198,8 +206,9 @@ def _candidates(rows: DataFrame, heads: DataFrame, num: int, den: int, leaf: int
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5, leaf: int = LEAF) -> DataFrame:
     """id, n_shingles, component_id of each row. Two documents link when den * |x & y| >= num * |x | y|; num/den is at least 1/2."""
-    base = common.written(regions(docs, id_col, text_col, k, num, den), "regions")
-    heads = base.where("own")
+    whole = common.written(regions(docs, id_col, text_col, k, num, den), "regions")
+    heads = whole.where("own")
+    base = common.written(whole.select("id", "n", "node"), "rows")  # read often: numbers alone are a small table
     sets = heads.select("node", "n", "k1", "k2")
     same = sets.groupBy("n", "k1", "k2").agg(F.min("node").alias("b"), F.count("node").alias("c")).where("c > 1")
     comp = common.written(sets.join(same.hint("merge"), ["n", "k1", "k2"]).select("node", F.col("b").alias("comp")), "components")
@@ -231,7 +240,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         comp = _grown(comp, new.where("linked").select("a", "b"))
     here = met.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     near_pivot = told.select(F.col("a").alias("node"), F.col("b").alias("lead"), "apart").unionByName(met.where("node = lead").select("node", "lead", F.lit(0).cast("long").alias("apart")).distinct())
-    here = _sized(here).join(near_pivot.hint("merge"), ["node", "lead"], "left").join(heads.select("node", "profile").hint("merge"), "node")
+    here = _sized(here).join(near_pivot.hint("merge"), ["node", "lead"], "left")
     pairs = _candidates(here, heads, num, den, leaf)
     for a, b in (("a", "b"), ("b", "a")):
         pairs = pairs.join(told.select(F.col("a").alias(a), F.col("b").alias(b)), ["a", "b"], "left_anti")

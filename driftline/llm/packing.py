@@ -4,10 +4,11 @@ Each input partition tokenises its documents and packs their pieces by best fit
 sufficient residual). Bins that are nearly full are final. The rest travel on as single items, a few partitions to a
 group, and are packed again by best fit, until one group is left; then whatever is open is final too.
 
-After best fit in one partition no two of its bins fit together, so at most one bin is half empty or more, and a merge
-of bins from two partitions needs such a bin: beyond the first round at most one bin a partition can still be saved.
-So the bins that travel on are the half-empty one and, as receivers for those of others, the FORWARD bins with most room;
-the others become sequences as they are: nothing is dropped.
+Which underfull bins travel on is no cap but what can still be used. After best fit in one group no two of its bins fit together, so at most one
+of them is filled to half or less. A merge of bins from two groups needs such a bin and leaves one fewer of them: with G groups at most
+G merges are left, each into one receiver, and receivers with less room can always be replaced by unused ones with more. So
+from each group the half-empty bin and the G underfull bins with most room travel; more of them could save no sequence. G shrinks by FAN_IN with
+every round, and the others become sequences as they are: nothing is dropped.
 
 Null texts count as empty and give one piece of length 1 (the end id). Ids may be null or repeat; no rows give no rows.
 """
@@ -28,7 +29,6 @@ from . import bpe, common
 LENGTH = 2048
 SLACK = 8
 FAN_IN = 16
-FORWARD = 512
 
 
 def cut(n: int, length: int) -> list[tuple[int, int]]:
@@ -59,24 +59,23 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _settle(fills: list[int], capacity: int, slack: int, forward: int) -> list[bool]:
-    """Which bins travel on: the half-empty ones and those with most room."""
-    order = sorted((i for i, f in enumerate(fills) if capacity - f > slack), key=lambda i: (fills[i], i))[:forward]
-    on = [False] * len(fills)
-    for i in order:
-        on[i] = True
-    return on
+def _ranks(fills: list[int], capacity: int, slack: int) -> list[int]:
+    """The place of each underfull bin by its room, most room first; -1 for those that are nearly full."""
+    out = [-1] * len(fills)
+    for r, i in enumerate(sorted((i for i, f in enumerate(fills) if capacity - f > slack), key=lambda i: (fills[i], i))):
+        out[i] = r
+    return out
 
 
-_COLS = ["doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset", "open"]
+_COLS = ["doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset", "rank"]
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, length: int = LENGTH, end_id: int = 0, slack: int = SLACK, fan_in: int = FAN_IN, forward: int = FORWARD) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, length: int = LENGTH, end_id: int = 0, slack: int = SLACK, fan_in: int = FAN_IN) -> DataFrame:
     """id, piece, start, length, ids_crc32, sequence_id, offset of each piece."""
     path = path or bpe.default_path()
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, bin long, offset long, open boolean"
+    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, bin long, offset long, rank int"
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -94,14 +93,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             return
         lengths = [r[3] for r in rows]
         bins = best_fit(lengths, length)
-        on = _settle([sum(lengths[i] for i in b) for b in bins], length, slack, forward)
+        rank = _ranks([sum(lengths[i] for i in b) for b in bins], length, slack)
         out: list[tuple] = []
         for k, b in enumerate(bins):
             at = 0
             for i in b:
-                out.append((*rows[i], base + k, at, on[k]))
+                out.append((*rows[i], base + k, at, rank[k]))
                 at += lengths[i]
-        kinds = [id_type, pa.int32(), *[pa.int64()] * 5, pa.bool_()]
+        kinds = [id_type, pa.int32(), *[pa.int64()] * 5, pa.int32()]
         for s in range(0, len(out), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[s : s + 50_000], strict=True), kinds, strict=True)], _COLS)
 
@@ -115,14 +114,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             ids, index = np.unique(bin_of, return_inverse=True)
             fill = np.bincount(index, weights=n).astype(np.int64)
             bins = best_fit(fill.tolist(), length)
-            on = [False] * len(bins) if last else _settle([int(fill[b].sum()) for b in bins], length, slack, forward)
-            new_bin, shift, is_open = ids.copy(), np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+            rank = [-1] * len(bins) if last else _ranks([int(fill[b].sum()) for b in bins], length, slack)
+            new_bin, shift, ranks = ids.copy(), np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int32)
             for k, b in enumerate(bins):
                 at = 0
                 for i in b:
-                    new_bin[i], shift[i], is_open[i] = ids[b[0]], at, on[k]
+                    new_bin[i], shift[i], ranks[i] = ids[b[0]], at, rank[k]
                     at += int(fill[i])
-            cols = {"bin": pa.array(new_bin[index]), "offset": pa.array(got["offset"].to_numpy() + shift[index]), "open": pa.array(is_open[index])}
+            cols = {"bin": pa.array(new_bin[index]), "offset": pa.array(got["offset"].to_numpy() + shift[index]), "rank": pa.array(ranks[index])}
             yield from pa.table([cols.get(c, got[c]) for c in _COLS], _COLS).to_batches()
 
         return run
@@ -130,15 +129,16 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     src = docs.select(id_col, text_col)
     level = common.written(src.mapInArrow(first, schema), "pack0")
     parts = 1 + (level.agg(F.max(F.expr("shiftright(bin, 32)")).alias("p")).first()["p"] or 0)
-    done = [level.where("not open")]
-    group = 1
+    done, group, width = [], 1, parts
     while True:
+        travels = F.col("rank").between(0, width)  # the half-empty bin has most room
+        done.append(level.where(~travels))
         group *= fan_in
-        width = -(-parts // group)
+        open_, width = level.where(travels), -(-parts // group)
         key = F.expr(f"shiftright(bin, 32) div {group}")
-        level = common.written(level.where("open").repartition(width, key).mapInArrow(merge(width == 1), schema), "pack")
-        done.append(level.where("not open"))
+        level = common.written(open_.repartition(width, key).mapInArrow(merge(width == 1), schema), "pack")
         if width == 1:
+            done.append(level)
             break
     out = done[0]
     for d in done[1:]:

@@ -129,13 +129,15 @@ def shrunk(counts: DataFrame, by: Sequence[str], up: DataFrame, name: str) -> Da
 
 def site_posteriors(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, host: str, path: str) -> DataFrame:
     """host, path, share: every site of ``docs``, by grouped aggregation of all labels."""
-    known = docs.select(id_col, F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path")).join(labels.where(F.col(label_col).isin(0, 1)).select(id_col, F.col(label_col).cast("int").alias("y")), id_col)
-    paths = known.groupBy("host", "path").agg(F.count("y").alias("n"), F.sum("y").alias("good"))
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    total = hosts.agg(((F.coalesce(F.sum("good"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("prior"))
-    host_share = shrunk(hosts, ["host"], total, "prior")
+    site = lambda df, *more: df.select(*more, F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
+    known = site(docs, id_col).join(labels.where(F.col(label_col).isin(0, 1)).select(id_col, F.col(label_col).cast("int").alias("y")), id_col)
+    # each level is used several times: written once, it is computed once
+    paths = common.written(known.groupBy("host", "path").agg(F.count("y").alias("n"), F.sum("y").alias("good")), "paths")
+    hosts = common.written(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), "hosts")
+    total = common.written(hosts.agg(((F.coalesce(F.sum("good"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("prior")), "total")
+    host_share = common.written(shrunk(hosts, ["host"], total, "prior"), "host_share")
     path_share = shrunk(paths, ["host", "path"], host_share, "share")
-    sites = docs.select(F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path")).distinct()
+    sites = site(docs).distinct()
     return sites.join(path_share, ["host", "path"], "left").join(host_share, "host", "left").crossJoin(F.broadcast(total.withColumnRenamed("prior", "p0"))).select("host", "path", F.coalesce("share", "prior", "p0").alias("share"))
 
 
@@ -151,6 +153,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
     src = docs.select(id_col, F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"), text_col)
     scored = src.mapInArrow(run, src.select(id_col, "host", "path").schema.add("evidence", "double"))
+    # a site may hold a third of all rows: both sides are plain exchanges, so Spark may split it (or broadcasts the sites if they are few)
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.ln(F.col("share") / (1 - F.col("share"))))))
     return scored.join(sites, ["host", "path"], "left").select(id_col, "evidence", F.col("share").alias("site_share"), score.alias("score")).withColumn("keep", F.col("score") >= threshold)
 

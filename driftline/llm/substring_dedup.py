@@ -4,7 +4,7 @@ Paragraphs are cut where the content says so, as a shared passage may stand anyw
 least among RADIUS words on either side. So inside a passage the same paragraphs arise in every document that has it.
 
 1. Each paragraph's five-word shingles give one MinHash value a band; ``bands_for`` tunes the number of bands (of one row each)
-   to the recall that is asked for at the threshold. 2 bands find 96 % at 0.8, and equal paragraphs always.
+   to the recall that is asked for at the threshold. 3 bands find 99 % at 0.8, and equal paragraphs always.
 2. Paragraphs that collide in a band are made again from the whole texts; those with the same shingle set are one content from there on.
    Every two contents that collide in a band and have a Jaccard similarity of the threshold or more end in one cluster: no bucket is capped.
    Two such sets share one of their first n/5 + 1 shingles in any common order (here rarest first), so a bucket falls into regions by
@@ -13,7 +13,8 @@ least among RADIUS words on either side. So inside a passage the same paragraphs
 3. Components of the links are clusters. The first place (document, paragraph) of a cluster stays; in other documents
    the paragraph is to be removed, where such paragraphs in a row have at least MIN_WORDS words. Repeats inside one document stay.
 
-Null texts, texts without words and null ids take no part. Rows that repeat an id are one document. No rows give no rows.
+Null texts, texts without words and null ids take no part. Rows that repeat an id are one document: repeats among them stay, and each
+row has spans of its own, told apart by a hash of its text (``text_hash``); rows that are the same in both share them. No rows give no rows.
 Spans are byte offsets in the UTF-8 text.
 """
 
@@ -33,7 +34,7 @@ from . import common, graph, words
 RADIUS = 5
 K = 5
 MIN_WORDS = 12
-RECALL = 0.95
+RECALL = 0.99
 _TOP = np.uint64(2**64 - 1)
 
 
@@ -74,31 +75,37 @@ def signatures(w: np.ndarray, at: np.ndarray, bands: int) -> tuple[np.ndarray, n
     return fit, (ends - at)[fit] - K + 1, keys
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, h (a hash of the text) and text of the rows with an id."""
+    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+
+
 def _paragraphs(docs: DataFrame, id_col: str, text_col: str, bands: int) -> DataFrame:
+    """id, h and, as lists, a key for each band and the paragraph that has it. The key of band i is moved by i, so that a value does not meet the same value in another band."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in common.by_bytes(batches, text_col, 8 << 20):
-            seg, size, keys = [], [], [[] for _ in range(bands)]
-            for w in words.of_texts(b.column(1)):
-                f, n, k = signatures(w, starts(w), bands)
-                seg.append(f.astype(np.int32))
-                size.append(n.astype(np.int32))
-                for i in range(bands):
-                    keys[i].append(k[:, i].view(np.int64) if len(f) else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(seg, pa.list_(pa.int32())), pa.array(size, pa.list_(pa.int32())), *(pa.array(k, pa.list_(pa.int64())) for k in keys)], ["id", "seg", "size", *(f"k{i}" for i in range(bands))])
+        moved = np.arange(bands, dtype=np.uint64)
+        for b in common.by_bytes(batches, "text", 8 << 20):
+            seg, keys = [], []
+            for w in words.of_texts(b.column(2)):
+                f, _, k = signatures(w, starts(w), bands)
+                seg.append(np.repeat(f, bands).astype(np.int32))
+                keys.append((k ^ moved).ravel().view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(seg, pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))], ["id", "h", "seg", "key"])
 
-    return docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(run, "id long, seg array<int>, size array<int>" + "".join(f", k{i} array<long>" for i in range(bands)))
+    return _rows(docs, id_col, text_col).mapInArrow(run, "id long, h long, seg array<int>, key array<long>")
 
 
 def _sets(asked: DataFrame, docs: DataFrame, id_col: str, text_col: str, bands: int) -> DataFrame:
-    """id, seg, n_words, start, end, node (a hash of the shingle set), its size n, keys and shingles of the paragraphs (id, segs) asked for."""
+    """id, h, seg, n_words, start, end, node (a hash of the shingle set), its size n, keys and shingles of the paragraphs (id, h, segs) asked for."""
     # hinted, so that the plan is the same at every size
-    rows = asked.hint("merge").join(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id").select("id", "segs", "text")
+    rows = asked.hint("merge").join(_rows(docs, id_col, text_col), ["id", "h"]).select("id", "segs", "text", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "seg", "n_words", "start", "end", "node", "n", "keys", "shingles"]
+        names = ["id", "h", "seg", "n_words", "start", "end", "node", "n", "keys", "shingles"]
         for b in common.by_bytes(batches, "text", 2 << 20):
-            ids, col = b.column(0).to_numpy(), b.column(2)
-            parts: list[list[np.ndarray]] = [[] for _ in range(7)]
+            ids, marks, col = b.column(0).to_numpy(), b.column(3).to_numpy(), b.column(2)
+            parts: list[list[np.ndarray]] = [[] for _ in range(8)]
             for lo, hi, raw, off in words.blocks(col):
                 h, w0, w1, first = words.word_hashes(raw, off)
                 for i in range(lo, hi):
@@ -106,18 +113,14 @@ def _sets(asked: DataFrame, docs: DataFrame, id_col: str, text_col: str, bands:
                     w = h[a:z]
                     at = starts(w)
                     seg = np.sort(b.column(1)[i].values.to_numpy())
-                    p, q = at[seg[seg < len(at)]], np.append(at[1:], len(w))[seg[seg < len(at)]]
-                    fit = q - p >= K  # another row of the same id may be shorter
-                    seg, p, q = seg[: len(p)][fit], p[fit], q[fit]
-                    if not len(seg):
-                        continue
+                    p, q = at[seg], np.append(at[1:], len(w))[seg]
                     size = q - p - K + 1
                     s = words.shingles(w, K)
                     pick = np.arange(size.sum()) + np.repeat(p - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-                    for c, v in zip(parts, (np.full(len(seg), ids[i]), seg, q - p, w0[a + p] - off[i - lo], w1[a + q - 1] - off[i - lo], size, s[pick].view(np.int64)), strict=True):
+                    for c, v in zip(parts, (np.full(len(seg), ids[i]), np.full(len(seg), marks[i]), seg, q - p, w0[a + p] - off[i - lo], w1[a + q - 1] - off[i - lo], size, s[pick].view(np.int64)), strict=True):
                         c.append(v)
             if parts[0]:
-                one, seg, n, start, end, size, flat = (np.concatenate(c) for c in parts)
+                one, mark, seg, n, start, end, size, flat = (np.concatenate(c) for c in parts)
                 which, flat = np.repeat(np.arange(len(size)), size), flat.view(np.uint64)
                 order = np.lexsort((flat, which))
                 flat = flat[order]
@@ -128,9 +131,9 @@ def _sets(asked: DataFrame, docs: DataFrame, id_col: str, text_col: str, bands:
                 # the key of band i is moved by i, so that a value does not meet the same value in another band
                 keys = np.stack([np.minimum.reduceat(words.mix(flat ^ words.PLACES[30 + i]), first) ^ np.uint64(i) for i in range(bands)], axis=1)
                 lists = lambda ends, values: pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(seg.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(start), pa.array(end), pa.array(node.view(np.int64)), pa.array(size.astype(np.int32)), lists(np.arange(len(size) + 1) * bands, keys.ravel()), lists(np.append(first, len(flat)), flat)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(mark), pa.array(seg.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(start), pa.array(end), pa.array(node.view(np.int64)), pa.array(size.astype(np.int32)), lists(np.arange(len(size) + 1) * bands, keys.ravel()), lists(np.append(first, len(flat)), flat)], names)
 
-    return rows.mapInArrow(run, "id long, seg int, n_words int, start long, end long, node long, n int, keys array<long>, shingles array<long>")
+    return rows.mapInArrow(run, "id long, h long, seg int, n_words int, start long, end long, node long, n int, keys array<long>, shingles array<long>")
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -183,35 +186,38 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
     return common.written(links.unionByName(_compare(pairs, sets, num, den)), "links")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4, den: int = 5, recall: float = RECALL, min_words: int = MIN_WORDS) -> DataFrame:
-    """id, start, end, n_words, n_paragraphs, keep_id of each span to be removed; keep_id is where its first paragraph stays."""
+def clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4, den: int = 5, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
+    """The colliding paragraphs (``_sets``), and the cluster (comp) of each of their contents (node) that links with another."""
     bands = bands_for(num / den, recall)
     base = common.written(_paragraphs(docs, id_col, text_col, bands), "paragraphs")
-    # the key of band i is moved by i, so that a value does not meet the same value in another band
-    spots = None
-    for i in range(bands):
-        one = base.select("id", F.explode(F.arrays_zip("seg", "size", f"k{i}")).alias("p")).select(F.col(f"p.k{i}").bitwiseXOR(F.lit(i)).alias("key"), F.col("p.size").alias("size"), "id", F.col("p.seg").alias("seg"))
-        spots = one if spots is None else spots.unionByName(one)
+    spots = base.select("id", "h", F.explode(F.arrays_zip("seg", "key")).alias("p")).select("p.key", "id", "h", "p.seg")
     # numbers only, so that Spark can sum up in hash tables
     full = spots.groupBy("key").agg(F.count("id").alias("m")).where("m > 1").select("key")
-    asked = common.written(spots.join(full.hint("merge"), "key").groupBy("id").agg(F.collect_set("seg").alias("segs")), "asked")
+    asked = common.written(spots.join(full.hint("merge"), "key").groupBy("id", "h").agg(F.collect_set("seg").alias("segs")), "asked")
     common.forget(base)
     sets = common.written(_sets(asked, docs, id_col, text_col, bands), "sets")
     comp = common.written(graph.components(_links(sets, num, den)), "components")
-    places = sets.select("id", "seg", "n_words", "start", "end", "node").join(comp.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    return sets, comp
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4, den: int = 5, recall: float = RECALL, min_words: int = MIN_WORDS) -> DataFrame:
+    """id, text_hash, start, end, n_words, n_paragraphs, keep_id of each span to be removed; keep_id is where its first paragraph stays."""
+    sets, comp = clusters(docs, id_col, text_col, num, den, recall)
+    places = sets.select("id", "h", "seg", "n_words", "start", "end", "node").join(comp.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     keep = places.groupBy("comp").agg(F.min("id").alias("keep_id"), F.max("id").alias("last")).where("keep_id < last").drop("last")
-    gone = places.join(keep.hint("merge"), "comp").where("id <> keep_id").groupBy("id", "seg").agg(F.first("n_words").alias("n_words"), F.first("start").alias("start"), F.first("end").alias("end"), F.min("keep_id").alias("keep_id"))
-    run = F.col("seg") - F.row_number().over(Window.partitionBy("id").orderBy("seg"))
-    spans = gone.withColumn("run", run).groupBy("id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"), F.count("seg").alias("n_paragraphs"), F.min_by("keep_id", "seg").alias("keep_id"))
-    return spans.where(F.col("n_words") >= min_words).select(F.col("id").alias(id_col), "start", "end", "n_words", "n_paragraphs", "keep_id")
+    gone = places.join(keep.hint("merge"), "comp").where("id <> keep_id").groupBy("id", "h", "seg").agg(F.first("n_words").alias("n_words"), F.first("start").alias("start"), F.first("end").alias("end"), F.min("keep_id").alias("keep_id"))
+    run = F.col("seg") - F.row_number().over(Window.partitionBy("id", "h").orderBy("seg"))
+    spans = gone.withColumn("run", run).groupBy("id", "h", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"), F.count("seg").alias("n_paragraphs"), F.min_by("keep_id", "seg").alias("keep_id"))
+    return spans.where(F.col("n_words") >= min_words).select(F.col("id").alias(id_col), F.col("h").alias("text_hash"), "start", "end", "n_words", "n_paragraphs", "keep_id")
 
 
 def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the spans cut out of the texts; rows left without a word that had one are dropped."""
-    cuts_col = "_cuts"
-    while cuts_col in docs.columns:
-        cuts_col += "_"
-    cuts = spans.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cuts_col))
+    new = ["_cuts", "_cut_id", "_cut_hash"]
+    while set(new) & set(docs.columns):
+        new = [f"{c}_" for c in new]
+    cuts_col, cut_id, cut_hash = new
+    cuts = spans.groupBy(F.col(id_col).alias(cut_id), F.col("text_hash").alias(cut_hash)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cuts_col))
     rest = [c for c in docs.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,9 +234,10 @@ def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", tex
             yield out.filter(pa.array(keep, pa.bool_()))
 
     # hinted, so that the plan is the same at every size
-    joined = docs.join(cuts.hint("merge"), id_col, "left").select(*rest, text_col, cuts_col)
+    mine = (docs[id_col] == F.col(cut_id)) & (F.xxhash64(docs[text_col]) == F.col(cut_hash))
+    joined = docs.join(cuts.hint("merge"), mine, "left").select(*rest, text_col, cuts_col)
     return joined.mapInArrow(run, docs.select(*rest, text_col).schema).select(*docs.columns)
 
 
 def op9_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_spans(common.table(spark, sf_dir, "documents"))
+    return repeated_spans(common.table(spark, sf_dir, "documents")).drop("text_hash")

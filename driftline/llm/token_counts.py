@@ -1,6 +1,6 @@
 """Token counts: batches of texts are encoded inside Arrow functions and only lengths leave them.
 
-Batches are balanced by bytes, long texts are cut at safe boundaries, and nothing is shuffled.
+Batches are balanced by bytes (large ones are cut, small ones joined), long texts are cut at safe boundaries, and nothing is shuffled.
 Null texts count as empty (0 tokens); rows with a null id are counted like any other; an empty table gives no rows.
 """
 
@@ -26,8 +26,14 @@ def counter(path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         return lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
     try:
-        encode = bpe.load(path).encode
-        return lambda texts: [sum(len(encode(p)) for p in bpe.pieces(t, PIECE_CHARS)) for t in texts]
+        lengths = bpe.load(path).lengths
+
+        def count(texts: list[str]) -> list[int]:
+            cut = [bpe.pieces(t, PIECE_CHARS) for t in texts]
+            n = iter(lengths([p for c in cut for p in c]))
+            return [sum(next(n) for _ in c) for c in cut]
+
+        return count
     except ValueError:
         from tokenizers import Tokenizer
 
@@ -43,7 +49,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path)
-        for b in common.by_bytes(batches, text_col, batch_bytes):
+        for b in common.balanced(batches, text_col, batch_bytes):
             col = pa.compute.fill_null(b.column(1), "")
             n = pa.array(count(col.to_pylist()), pa.int64())
             sizes = pa.compute.binary_length(col).cast(pa.int64())

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute
 
 BLOCK = 1 << 20
+SLICE = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -32,21 +33,54 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: For bags of words: everything in ASCII that's no letter or digit separates.
 NO_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-_POW = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(255, _BASE, np.uint64)]))
+#: The base's inverse modulo 2^64.
+_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_POW = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POW
-    if n > len(_POW):
-        _POW = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, _BASE, np.uint64)]))
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, ``n`` of them at least."""
+    if n > len(_POW[0]):
+        for k, b in enumerate((_BASE, _BACK)):
+            _POW[k] = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n + n // 2, b, np.uint64)]))
     return _POW
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE, prefixes: tuple[int, ...] = ()) -> tuple:
     """Of texts raw[offsets[i]:offsets[i+1]]: hash, start and end of each word, and the number of the first word of each text.
 
-    With ``prefixes`` also a list with the hashes of so many leading bytes of each word.
+    With ``prefixes`` also a list with the hashes of so many leading bytes of each word. More than SLICE bytes are worked through in slices
+    that end at a gap, so memory stays bounded by the slice (or its longest word) and 8 bytes a word, however long a text is.
     """
+    if len(raw) > SLICE:
+        parts, at = [], 0
+        while at < len(raw):
+            to = min(len(raw), at + SLICE)
+            if to < len(raw) and not (space[raw[to - 1]] or space[raw[to]]):
+                back = np.flatnonzero(space[raw[at:to]])
+                ahead = back[-1:] + at + 1 if len(back) else np.array([_next_gap(raw, to, space)])
+                to = int(ahead[0])
+            inner = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, to, "right")] - at
+            got = word_hashes_of(raw[at:to], inner, space, prefixes)
+            parts.append((got[0], got[1] + at, got[2] + at, *(got[4:] and [got[4]])))
+            at = to
+        hashes, starts, ends = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        out = (hashes, starts, ends, np.searchsorted(starts, offsets))
+        return out + ([np.concatenate([p[3][k] for p in parts]) for k in range(len(prefixes))],) if prefixes else out
+    return word_hashes_of(raw, offsets, space, prefixes)
+
+
+def _next_gap(raw: np.ndarray, at: int, space: np.ndarray) -> int:
+    while at < len(raw):
+        gaps = np.flatnonzero(space[raw[at : at + SLICE]])
+        if len(gaps):
+            return at + int(gaps[0])
+        at += SLICE
+    return len(raw)
+
+
+def word_hashes_of(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray, prefixes: tuple[int, ...]) -> tuple:
+    """``word_hashes`` in one go."""
     n = len(raw)
     gap = space[raw]
     edge = np.zeros(n + 1, bool)
@@ -59,15 +93,14 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE,
         return (none, starts, starts, np.zeros(len(offsets), np.int64)) + (([none] * len(prefixes),) if prefixes else ())
     after = np.concatenate([word[1:], [False]])
     ends = np.flatnonzero(word & (~after | edge[1:])) + 1
-    sizes = ends - starts
-    at = np.flatnonzero(word)
-    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    place = np.arange(len(at)) - np.repeat(first, sizes)
-    value = LETTERS[raw[at]] * _powers(int(sizes.max()))[place]
-    hashes = mix(np.add.reduceat(value, first) + sizes.astype(np.uint64))
-    out = (hashes, starts, ends, np.searchsorted(starts, offsets))
+    # a word's polynomial is a difference of running sums, moved back to power 0
+    power, back = _powers(n)
+    run = np.zeros(n + 1, np.uint64)
+    np.cumsum(LETTERS[raw] * power[:n], out=run[1:])
+    value = lambda to: (run[to] - run[starts]) * back[starts]
+    out = (mix(value(ends) + (ends - starts).astype(np.uint64)), starts, ends, np.searchsorted(starts, offsets))
     if prefixes:
-        out += ([mix(np.add.reduceat(np.where(place < k, value, 0), first) + np.uint64(1000 + k)) for k in prefixes],)
+        out += ([mix(value(np.minimum(ends, starts + k)) + np.uint64(1000 + k)) for k in prefixes],)
     return out
 
 
@@ -102,6 +135,32 @@ def shingles(words: np.ndarray, k: int = 5) -> np.ndarray:
     return mix(out)
 
 
+def runs(h: np.ndarray, first: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """``shingles`` of all texts of a block at once, given its word hashes and the first word of each text: hashes, and where each text's begin."""
+    sizes = np.diff(first)
+    n = np.where(sizes >= k, sizes - k + 1, np.minimum(sizes, 1))
+    begin = np.concatenate([[0], np.cumsum(n)])
+    out = np.zeros(begin[-1], np.uint64)
+    long = np.flatnonzero(sizes >= k)
+    if len(long):
+        every = shingles(h, k)
+        at = np.arange(n[long].sum()) + np.repeat(first[long] - np.concatenate([[0], np.cumsum(n[long])[:-1]]), n[long])
+        to = np.arange(len(at)) + np.repeat(begin[long] - np.concatenate([[0], np.cumsum(n[long])[:-1]]), n[long])
+        out[to] = every[at]
+    for i in np.flatnonzero((sizes > 0) & (sizes < k)).tolist():
+        out[begin[i]] = shingles(h[first[i] : first[i + 1]], k)[0]
+    return out, begin
+
+
+def shingles_of(col: pa.Array, k: int = 5) -> Iterator[np.ndarray]:
+    """Shingle hashes of each text, with repeats."""
+    for a, b, raw, off in blocks(col):
+        h, _, _, first = word_hashes(raw, off)
+        s, begin = runs(h, first, k)
+        for i in range(b - a):
+            yield s[begin[i] : begin[i + 1]]
+
+
 def of_texts(col: pa.Array, space: np.ndarray = SPACE) -> Iterator[np.ndarray]:
     """Word hashes of each text."""
     for a, b, raw, off in blocks(col):

@@ -19,6 +19,70 @@ def test_word_hashes_follow_the_words():
     assert len(words.shingles(got[2], 5)) == 1 and len(words.shingles(got[0], 5)) == 79_996
 
 
+@pytest.mark.parametrize("slice_", [1, 7, 50, 10_000])
+def test_long_texts_in_slices(monkeypatch, slice_):
+    import pyarrow as pa
+
+    r = random.Random(5)
+    texts = ["".join(r.choice("ab é\n .") for _ in range(r.randrange(120))) for _ in range(30)] + ["", "x" * 90, " " * 40]
+    _, _, raw, off = next(words.blocks(pa.array(texts)))
+    for space in (words.SPACE, words.NO_WORD):
+        monkeypatch.setattr(words, "SLICE", 1 << 30)
+        want = words.word_hashes(raw, off, space, (2, 3))
+        monkeypatch.setattr(words, "SLICE", slice_)
+        got = words.word_hashes(raw, off, space, (2, 3))
+        assert all((a == b).all() for a, b in zip(want[:4], got[:4], strict=True)) and all((a == b).all() for a, b in zip(want[4], got[4], strict=True))
+        assert len(words.word_hashes(raw, off, space)) == 4
+
+
+def test_runs_of_a_block():
+    import pyarrow as pa
+
+    r = random.Random(6)
+    texts = [" ".join(r.choice("abc") for _ in range(r.choice([0, 1, 4, 5, 6, 40]))) for _ in range(60)]
+    for k in (3, 5):
+        want = [words.shingles(w, k) for w in words.of_texts(pa.array(texts))]
+        got = list(words.shingles_of(pa.array(texts), k))
+        assert len(got) == len(want) and all(len(a) == len(b) and (a == b).all() for a, b in zip(got, want, strict=True))
+
+
+def test_gradient_against_differences():
+    r = np.random.default_rng(4)
+    net = toxicity.TextCnn(buckets=40, dim=3, widths=(1, 2, 3), filters=2)
+    net.start()
+    net.table, net.kernels = net.table.astype(np.float64) * 10, [k.astype(np.float64) for k in net.kernels]
+    net.bias, net.out, net.off = r.normal(0, 0.3, 6), r.normal(0, 1, 6), -0.3
+    sizes = [7, 0, 1, 2, 12]
+    ids, first = r.integers(0, 40, (sum(sizes), toxicity.SLOTS)), np.concatenate([[0], np.cumsum(sizes)])
+    y, weight = np.array([1, 0, 1, 0, 1]), np.array([3.0, 1, 3, 1, 3])
+    _, grads, off = net.gradient(ids, first, y, weight)
+    at = lambda: net.gradient(ids, first, y, weight)[0]
+    for p, g in zip([net.table, *net.kernels, net.bias, net.out], grads, strict=True):
+        for k in r.choice(p.size, min(p.size, 25), replace=False):
+            place = np.unravel_index(k, p.shape)
+            if p is net.table and place[0] == net.buckets:
+                continue  # the pad stays zero
+            old = p[place]
+            p[place] = old + 1e-6
+            more = at()
+            p[place] = old - 1e-6
+            less = at()
+            p[place] = old
+            assert abs((more - less) / 2e-6 - g[place]) < 1e-5
+    net.off += 1e-6
+    more = at()
+    net.off -= 2e-6
+    assert abs((more - at()) / 2e-6 - off) < 1e-5
+
+
+def test_training_words_are_bounded(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    every, _ = toxicity.sampled(docs, labels, "doc_id", "text", "toxic", 6_000, 1 << 40)
+    some, y = toxicity.sampled(docs, labels, "doc_id", "text", "toxic", 6_000, 2_000)
+    assert 0 < len(some) == len(y) < len(every) and sum(len(t) for t in some) <= 2_000 and all((a == b).all() for a, b in zip(some, every, strict=False))
+    assert toxicity.sampled(docs, labels, "doc_id", "text", "toxic", 6_000, 0)[0] == []
+
+
 def test_gradient_of_the_network():
     """Loss falls, and a word seen only in one class decides."""
     import pyarrow as pa
@@ -80,6 +144,63 @@ def test_sparse_sites_shrink(spark):
     assert abs(s["big", "p"] - 0.5) < 0.02 and 0.2 < s["small", "p"] < 0.5 and abs(s["new", "p"] - 0.5) < 0.02
 
 
+def plain_measures(text):
+    import math
+    import re
+    from collections import Counter
+
+    b = (text or "").encode()
+    size, w = max(1, len(b)), [x for x in re.split(rb"[\x20\t-\r]+", bytes(c + 32 if 65 <= c <= 90 else c for c in b)) if x]
+    share = lambda kind: sum(map(kind, b)) / size
+    letter = lambda c: c < 128 and chr(c).isalpha()
+    out = [share(lambda c: 65 <= c <= 90), share(lambda c: 97 <= c <= 122), share(lambda c: 48 <= c <= 57), share(lambda c: c >= 128)]
+    out += [share(lambda c: 33 <= c < 128 and not letter(c) and not 48 <= c <= 57 and c not in b".,"), share(lambda c: c in b".,"), share(lambda c: c == 10)]
+    n = len(w)
+    out += [math.log1p(n), math.log1p(max(0, size - n) / max(1, n))]
+    if not n:
+        return out + [0.0] * 5
+    runs = {tuple(w[i : i + 3]) for i in range(max(1, n - 2))}
+    return out + [len(set(w)) / n**0.75, max(Counter(w).values()) / n, (n - len(runs)) / n, sum(a == z for a, z in zip(w, w[1:], strict=False)) / (n - 1) if n > 1 else 0, sum(len(x) <= 1 for x in w) / n]
+
+
+def test_quality_against_plain_python(spark, sf):
+    """Evidence, posteriors of sites and scores, computed anew without Spark or numpy blocks."""
+    import math
+
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = quality.train(docs, labels, "doc_id", "text", "quality")
+    good = {r.doc_id: r.quality for r in labels.collect() if r.quality in (0, 1)}
+    rows = docs.collect()
+    sites, hosts = {}, {}
+    for r in rows:
+        if r.doc_id in good:
+            for at, k in ((sites, (r.source or "", r.lang or "")), (hosts, r.source or "")):
+                n, g = at.get(k, (0, 0))
+                at[k] = n + 1, g + good[r.doc_id]
+    p0 = (sum(g for _, g in hosts.values()) + 1) / (sum(n for n, _ in hosts.values()) + 2)
+
+    def weight(counts, prior):
+        got = [(n, g / n, prior(k)) for k, (n, g) in counts.items() if n > 1]
+        v = sum(n * p * (1 - p) for n, _, p in got)
+        if not got or not v:
+            return 50.0
+        between = max(1e-4, (sum(n * (s - p) ** 2 for n, s, p in got) - sum(p * (1 - p) for _, _, p in got)) / v)
+        return min(max(1 / between - 1, 1.0), 1000.0)
+
+    m = weight(hosts, lambda k: p0)
+    host_share = {k: (g + m * p0) / (n + m) for k, (n, g) in hosts.items()}
+    m = weight(sites, lambda k: host_share[k[0]])
+    share = {k: (g + m * host_share[k[0]]) / (n + m) for k, (n, g) in sites.items()}
+    got = {r.doc_id: r for r in quality.quality(docs, labels).collect()}
+    for r in rows:
+        x = plain_measures(r.text)
+        z = [max(-8.0, min(8.0, (v - a) / b)) for v, a, b in zip(x + [v * v for v in x], model.mean, model.scale, strict=True)]
+        evidence = sum(a * b for a, b in zip(z, model.weights, strict=True)) + model.offset - model.base
+        s = share.get((r.source or "", r.lang or ""), host_share.get(r.source or "", p0))
+        score = 1 / (1 + math.exp(-(evidence + math.log(s / (1 - s)))))
+        assert abs(got[r.doc_id].evidence - evidence) < 1e-6 and abs(got[r.doc_id].site_share - s) < 1e-9 and abs(got[r.doc_id].score - score) < 1e-6
+
+
 def test_quality_odd(spark, odd, sf):
     labels = table(spark, sf, "labels")
     got = quality.quality(odd, labels)
@@ -162,6 +283,26 @@ def test_url_templates_reject_by_labels(spark):
     assert got[0] == ("net/es/", "block") and got[100] == (None, "block") and got[101] == (None, "allow") and got[102] == (None, "allow")
 
 
+def test_url_templates_of_deep_paths(spark):
+    """The branch that decides is the fifth segment; very long paths, null and repeated ids and empty tables have their rows."""
+    rules = [("h.net/x/a/b/c/bad/", "block"), ("h.net/x/a/b/c/good/", "allow")]
+    rows = [(i, f"http://h.net/x/a/b/c/bad/p{i}z") for i in range(28)] + [(100 + i, f"http://h.net/x/a/b/c/good/q{i}") for i in range(20)]
+    rows += [(200, "http://h.net/x/a/b/c/bad"), (201, "http://h.net/x/a/b/c/good"), (202, "http://h.net/x/a/b/c/other/1"), (203, "http://h.net/" + "s/" * 5_000 + "t" * 50_000), (None, "http://h.net/x/a/b/c/bad#x"), (200, "http://h.net/x"), (None, None)]
+    got = [(r.page_id, r.rule, r.verdict) for r in urls.url_filter(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()]
+    assert len(got) == len(rows) and sorted(v for i, _, v in got if i == 200) == ["allow", "block"] and sorted(v for i, _, v in got if i is None) == ["allow", "block"]
+    by = {i: v for i, _, v in got}
+    assert by[201] == by[202] == by[203] == "allow" and by[5] == "block" and by[105] == "allow"
+
+
+def test_alike_branches_grow_together(spark):
+    """Sparse branches with the same share are one template: what is below them is judged by the labels of all."""
+    names = [f"b{k}x" for k in range(7)]
+    rules = [(f"h.net/{b}/w/", "block") for b in names] + [(f"h.net/{b}/v/", "allow") for b in names]
+    rows = [(k, f"http://h.net/{b}/{s}/d{k}e") for k, (b, s) in enumerate([(b, s) for b in names for s in "wv" for _ in range(2)])] + [(50, "http://h.net/b0x/w"), (51, "http://h.net/b1x/v"), (52, "http://h.net/other/w")]
+    by = {r.page_id: r.verdict for r in urls.url_filter(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert by[50] == "block" and by[51] == "allow" and by[52] == "allow"
+
+
 @pytest.mark.parametrize("name", ["op4_threshold_top_k", "op8_url_templates", "op10_exact_dedup"])
 def test_against_sql(spark, sf, name):
     import glob
