@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 import sys
 
 VERBS = ("import", "prepare-update", "update", "help")
@@ -43,20 +42,17 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
 
     from driftline.plans import runner
-    from driftline.sources import files, publish
+    from driftline.sources import files, fs
 
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     manifest = f"{got.output_dir}/manifest.json"
-    known = {}
-    if os.path.exists(manifest):
-        with open(manifest, encoding="utf-8") as f:
-            known = files.manifest_source(f.read())
+    there = fs.read_text(spark, manifest) if fs.exists(spark, manifest) else None
+    known = files.manifest_source(there) if there else {}
     options = runner.Options(got.output_dir, got.h3_resolution, known | ({"url": got.update_url} if got.update_url else {}))
     if got.verb == "prepare-update":
-        with open(manifest, encoding="utf-8") as f:
-            content = json.load(f)
-        content["source"] = options.source
-        publish.replace(manifest, json.dumps(content, indent=1))
+        if there is None:
+            raise SystemExit(f"{manifest} is not there: import first")
+        fs.replace(spark, manifest, json.dumps(json.loads(there) | {"source": options.source}, indent=1))
         return 0
     if got.verb == "import":
         if got.versions.endswith(".pbf"):
@@ -67,9 +63,8 @@ def main(argv: list[str] | None = None) -> int:
         else:
             versions = files.versions(spark, got.versions)
         state = files.sidecar(got.versions)
-        if os.path.exists(state):
-            with open(state, encoding="utf-8") as f:
-                s = files.parse_state(f.read())
+        if fs.exists(spark, state):
+            s = files.parse_state(fs.read_text(spark, state))
             options.source |= {"timestamp": s["timestamp"]}
             runner.run_import(spark, versions, options, int(s["sequenceNumber"]))
         else:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from driftline.functions import time
 
+AS_OF_DAYS = 365
+
 
 def positions(nodes: DataFrame) -> DataFrame:
     """node, day, cell: the last version of a day wins. nodes: id, version, day, cell (null: no coordinates)."""
@@ -24,16 +26,27 @@ def node_events(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("cell", F.coalesce("cell", F.when(~F.col("visible"), before))).where("cell is not null").select("cell", "day")
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, when: str, value: str) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, key: str, when: str, value: str, bucket: int = AS_OF_DAYS) -> DataFrame:
     """Inner as-of join, backward and inclusive: ``left`` with ``value`` of the last ``right`` row of the key not after ``when``.
 
-    Each right row gets its time of validity by one window over its key; then it's an equi-join with a range that fits one row, so
-    Spark may sort, hash, broadcast or split it like any other.
+    Linear, whatever a key's share: both sides lie in one table in order of time, where a running last value passes from right rows to left
+    ones. A key is dealt by buckets of time, and each bucket that has left rows starts with the last value of the buckets before it.
     """
-    until = F.lead(when).over(Window.partitionBy(key).orderBy(when))
-    valid = right.select(F.col(key).alias("_k"), F.col(when).alias("_from"), until.alias("_to"), value)
-    fits = (F.col(key) == F.col("_k")) & (F.col(when) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(when) < F.col("_to")))
-    return left.join(valid, fits).drop("_k", "_from", "_to")
+    at = F.floor(F.col(when) / bucket).cast("long").alias("_b")
+    of = right.schema[value].dataType
+    mine = left.where(F.col(key).isNotNull() & F.col(when).isNotNull())
+    rows = mine.select(F.col(key).alias("_k"), at, F.col(when).cast("long").alias("_w"), F.lit(2).alias("_o"), F.lit(None).cast(of).alias("_v"), F.struct(*left.columns).alias("_row"))
+    empty = F.lit(None).cast(rows.schema["_row"].dataType).alias("_row")
+    given = right.where(F.col(key).isNotNull() & F.col(when).isNotNull() & F.col(value).isNotNull())
+    values = given.select(F.col(key).alias("_k"), at, F.col(when).cast("long").alias("_w"), F.lit(1).alias("_o"), F.col(value).alias("_v"), empty)
+    ends = given.groupBy(F.col(key).alias("_k"), at).agg(F.max_by(value, when).alias("_e"))
+    asked = mine.select(F.col(key).alias("_k"), at).distinct().select("_k", "_b", F.lit(None).cast(of).alias("_e"))
+    before = Window.partitionBy("_k").orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)
+    carried = ends.unionByName(asked).groupBy("_k", "_b").agg(F.max("_e").alias("_e")).withColumn("_v", F.last("_e", ignorenulls=True).over(before)).where("_v is not null")
+    carried = carried.select("_k", "_b", (F.col("_b") * bucket).alias("_w"), F.lit(0).alias("_o"), "_v", empty)
+    so_far = Window.partitionBy("_k", "_b").orderBy("_w", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.unionByName(values).unionByName(carried).withColumn("_v", F.last("_v", ignorenulls=True).over(so_far))
+    return found.where("_o = 2 and _v is not null").select("_row.*", F.col("_v").alias(value))
 
 
 def way_events(ways: DataFrame, history: DataFrame) -> DataFrame:

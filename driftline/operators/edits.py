@@ -31,6 +31,11 @@ def checked_keys(tags: Column, longest: int = 255) -> Column:
     return F.when(F.exists(tags, lambda t: F.octet_length(t["k"]) > longest), F.raise_error(F.lit(f"tag key over {longest} bytes"))).otherwise(tags)
 
 
+def checked_tags(tags: Column, most: int = 65_535) -> Column:
+    """The tags, or an error if an object has more than ``most``."""
+    return F.when(F.size(tags) > most, F.raise_error(F.lit(f"more than {most} tags"))).otherwise(tags)
+
+
 def minute_counts(versions: DataFrame) -> DataFrame:
     """uid, minute, n: modified and deleted objects of all three kinds."""
     return without_creates(versions).groupBy("uid", "minute").agg(F.count(F.lit(1)).alias("n"))

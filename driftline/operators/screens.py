@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions import geo, names, text, time
@@ -105,9 +105,14 @@ def last_tags(versions: DataFrame) -> DataFrame:
     return last.where("_l.visible").select("type", "id", names.tracked_tags(F.col("_l.tags")).alias("tags")).where(F.size("tags") > 0)
 
 
+def checked_lang(lang: Column, longest: int = 255) -> Column:
+    """The language code, or an error if it is longer than ``longest`` bytes."""
+    return F.when(F.octet_length(lang) > longest, F.raise_error(F.lit(f"language code over {longest} bytes"))).otherwise(lang)
+
+
 def language_counts(events: DataFrame) -> DataFrame:
     """uid, day, lang, n."""
-    return events.groupBy("uid", "day", "lang").agg(F.count(F.lit(1)).alias("n"))
+    return events.withColumn("lang", checked_lang(F.col("lang"))).groupBy("uid", "day", "lang").agg(F.count(F.lit(1)).alias("n"))
 
 
 def language_days(counts: DataFrame, least: int = LANGUAGE_EVENTS) -> DataFrame:

@@ -14,13 +14,13 @@ from driftline.functions import geo, names, text, time
 from driftline.operators import activity, cube, edits, explore, finalize, screens
 from driftline.plans import bindings as b
 from driftline.schemas import ASPECTS, COUNTERS, TAG_COUNTERS, TAG_KEYS
+from driftline.sources import scratch
 from driftline.streaming import incremental
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 BURST, OBJECTS = 1, 2
 SPREAD = {"edits": 2, "distinct": 2, "budget": 20.0}
-FIRST, LAST = 9_500, 10_500
 
 
 def query(sql: str | None, *ctes: str):
@@ -240,14 +240,18 @@ EXPORTS = (b.EDITS, b.MINUTES, b.CELLS, b.KEYS, b.STEPS, b.PLACES, b.TAGGED, BUR
 
 
 def _suspects(s, d):
-    e = b.edits(s, d)
-    base = e.groupBy("uid", F.col("day").alias("change_date")).agg(F.count(F.lit(1)).alias("count")).withColumn("suspect_flag", F.lit(0)).withColumn("from_base", F.col("change_date") < 19_730)
-    users = e.select("uid", "username").distinct().where("uid % 17 <> 0").withColumn("ranking", (F.col("uid") % 12).cast("int"))
-    prev = e.select("uid", F.col("day").alias("change_date")).distinct().where("change_date < 19725 and uid % 2 = 0").select("*", F.lit(7).cast("long").alias("far_move_count"), F.lit(900).cast("long").alias("max_move_meters"), F.lit(3).alias("ranking_at_day"))
+    """All screens read one written set of minutes, cells, keys and days."""
+    minutes, cells, keys = scratch.written(_minutes(s, d), "minutes"), scratch.written(_cells(s, d), "cells"), scratch.written(_keys(s, d), "keys")
+    days = scratch.written(b.edits(s, d).groupBy("uid", "username", F.col("day").alias("change_date")).agg(F.count(F.lit(1)).alias("count")), "days")
+    base = days.select("uid", "change_date", "count", F.lit(0).alias("suspect_flag"), (F.col("change_date") < 19_730).alias("from_base"))
+    users = days.select("uid", "username").distinct().where("uid % 17 <> 0").withColumn("ranking", (F.col("uid") % 12).cast("int"))
+    prev = days.where("change_date < 19725 and uid % 2 = 0").select("uid", "change_date", F.lit(7).cast("long").alias("far_move_count"), F.lit(900).cast("long").alias("max_move_meters"), F.lit(3).alias("ranking_at_day"))
     lang = screens.language_days(_langs(s, d)).withColumn("day", F.col("day") + 19_723)
-    rows = finalize.flagged(base, users, screens.burst_days(_minutes(s, d), BURST), _moves(s, d), screens.spread_days(_cells(s, d), _minutes(s, d), b.KM2, **SPREAD), screens.coverage_days(_keys(s, d), _minutes(s, d), objects=OBJECTS), lang, prev)
-    countries = finalize.countries_of_days(_cells(s, d), b.places(s, d), rows.where("suspect_flag <> 0"))
-    return finalize.suspects(rows, countries)
+    rows = finalize.flagged(
+        base, users, screens.burst_days(minutes, BURST), _moves(s, d), screens.spread_days(cells, minutes, b.KM2, **SPREAD), screens.coverage_days(keys, minutes, objects=OBJECTS), lang, prev
+    )
+    rows = scratch.written(rows.where("suspect_flag <> 0"), "flagged")
+    return finalize.suspects(rows, finalize.countries_of_days(cells, b.places(s, d), rows))
 
 
 _SHOWN = "uid, username, change_date, suspect_flag, changes, max_edits_per_hour, peak_spread_km2, array_to_string(changed_keys, ',') AS changed_keys, array_to_string(countries, ',') AS countries, far_move_count, max_move_meters, ranking_at_day, name_lang_events"
@@ -273,7 +277,41 @@ def feed_terms(s, d):
     return _suspects(s, d).select("uid", "change_date", F.array_join(text.filter_terms(F.col("suspect_flag")), " ").alias("terms"))
 
 
-@query(None)
+def _esc(x: str) -> str:
+    for raw, safe in (("'&'", "&amp;"), ("'<'", "&lt;"), ("'>'", "&gt;"), ("chr(34)", "&quot;"), ("chr(39)", "&#39;")):
+        x = f"replace({x}, {raw}, '{safe}')"
+    return x
+
+
+
+
+def _km(digits: int) -> str:
+    """Metres as kilometres with so many decimals, halves up."""
+    x = f"(max_move_meters * {10**digits} + 500) // 1000"
+    return f"(({x}) // {10**digits}) || '.' || lpad(CAST(({x}) % {10**digits} AS VARCHAR), {digits}, '0')"
+
+
+_FAR = f"""CASE WHEN max_move_meters >= 1000 THEN regexp_replace(CASE WHEN max_move_meters >= 10000000 THEN {_km(1)} WHEN max_move_meters >= 1000000 THEN {_km(2)} WHEN max_move_meters >= 100000 THEN {_km(3)}
+  WHEN max_move_meters >= 10000 THEN {_km(4)} ELSE {_km(5)} END, '(\\.\\d+?)0+$', '\\1') || ' km' ELSE max_move_meters || ' m' END"""
+_LINES = f"""concat_ws(chr(10), 'Flagged edit day for ' || name || ' on ' || iso_ || '.', 'Changes: ' || changes || ' | Ranking at day: #' || ranking_at_day,
+  CASE WHEN len(countries) > 0 THEN 'Countries: ' || array_to_string(countries, ', ') END,
+  CASE WHEN suspect_flag & 1 > 0 THEN 'Filter 2 (edit burst): peak ' || max_edits_per_hour || ' edits/hour' END,
+  CASE WHEN suspect_flag & 2 > 0 THEN 'Filter 3 (node moves): ' || far_move_count || ' far moves, largest ' || {_FAR} END,
+  CASE WHEN suspect_flag & 8 > 0 THEN 'Filter 4 (spread): peak ' || CAST(round(peak_spread_km2) AS BIGINT) || ' km^2' END,
+  CASE WHEN suspect_flag & 16 > 0 THEN 'Filter 5 (mass tag): ' || array_to_string(list_transform(changed_keys, lambda x: {_esc('x')}), ' ') END,
+  CASE WHEN suspect_flag & 32 > 0 THEN 'Name-language abuse: ' || name_lang_events || ' event(s)' END) || chr(10)"""
+_TERM = lambda bit, name: f"CASE WHEN suspect_flag & {bit} > 0 THEN '<category term=''{name}''/>' END"
+_LINK = "'#user=' || url_encode(username)"
+
+
+@query(
+    f"""SELECT change_date, uid, '<entry><title>' || name || ' - ' || iso_ || ' (' || changes || ' changes)</title><id>tag:suspect,' || iso_ || ':' || uid || '</id><updated>' || iso_ || 'T00:00:00Z</updated>'
+  || '<author><name>' || name || '</name><uri>' || {_esc('url_encode(username)')} || '</uri></author><link rel=''alternate'' href=''' || {_esc(_LINK)} || '''/>'
+  || concat_ws(' ', {', '.join(_TERM(bit, name) for bit, name in text.FEED_TERMS)}, CASE WHEN len(countries) > 0 THEN array_to_string(list_transform(countries, lambda x: '<category term=''' || x || '''/>'), ' ') END)
+  || '<content type=''text''>' || {_esc(_LINES)} || '</content></entry>' AS entry
+FROM (SELECT *, {_esc('username')} AS name, strftime(DATE '1970-01-01' + change_date, '%Y-%m-%d') AS iso_ FROM suspects)""",
+    *EXPORTS,
+)
 def feed_entries(s, d):
     from driftline.sources import publish
 
@@ -422,26 +460,32 @@ def countries_per_day(s, d):
 
 
 def _box(s, d):
-    cells = b.table(s, d, "supplier").where("s_suppkey between 2 and 60 and s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("cell"))
-    return explore.in_box(cube.by_year(_cube(s, d)), cells, FIRST, LAST)
+    """The rows of a box on the map, of the middle half of all days, and these days."""
+    whole = scratch.written(_cube(s, d), "cube")
+    r = cube.date_range(whole).first()
+    first, last = r.first_day + (r.last_day - r.first_day) // 4, r.last_day - (r.last_day - r.first_day) // 4
+    cells = b.centres(s, d).where("lat between -45 and 45 and lon between -90 and 90").select("cell")
+    return explore.in_box(cube.by_year(whole), cells, first, last), first, last
 
 
-BOX = f"box AS (SELECT * FROM merged WHERE day BETWEEN {FIRST} AND {LAST} AND cell IN (SELECT s_suppkey FROM supplier WHERE s_suppkey BETWEEN 2 AND 60 AND s_suppkey % 3 = 0))"
+BOX = """range_ AS (SELECT min(day) + (max(day) - min(day)) // 4 AS a, max(day) - (max(day) - min(day)) // 4 AS z FROM merged),
+box AS (SELECT m.* FROM merged m, range_ WHERE day BETWEEN a AND z AND cell IN (SELECT cell FROM centres WHERE lat BETWEEN -45 AND 45 AND lon BETWEEN -90 AND 90))"""
+BOXES = (*CUBES, b.CENTRES, BOX)
 
 
-@query("SELECT cell, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY cell", *CUBES, BOX)
+@query("SELECT cell, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY cell", *BOXES)
 def bbox_by_cell(s, d):
-    return explore.by_cell(_box(s, d))
+    return explore.by_cell(_box(s, d)[0])
 
 
-@query("SELECT day, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY day", *CUBES, BOX)
+@query("SELECT day, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY day", *BOXES)
 def bbox_by_day(s, d):
-    return explore.by_day(_box(s, d))
+    return explore.by_day(_box(s, d)[0])
 
 
-@query("SELECT cell, day, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY GROUPING SETS ((cell), (day), ())", *CUBES, BOX)
+@query("SELECT cell, day, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY GROUPING SETS ((cell), (day), ())", *BOXES)
 def bbox_rollup(s, d):
-    return explore.rolled_up(_box(s, d))
+    return explore.rolled_up(_box(s, d)[0])
 
 
 @query("SELECT day, CAST(sum(count) AS BIGINT) AS count FROM merged GROUP BY day ORDER BY count DESC, day LIMIT 20", *CUBES)
@@ -449,9 +493,10 @@ def daily_totals_top20(s, d):
     return explore.busiest_days(_cube(s, d))
 
 
-@query(f"SELECT CAST(g.day AS INTEGER) AS day, coalesce(count, 0) AS count FROM range({FIRST}, {LAST + 1}) g(day) LEFT JOIN (SELECT day, CAST(sum(count) AS BIGINT) AS count FROM box WHERE day % 3 <> 0 GROUP BY day) USING (day)", *CUBES, BOX)
+@query("SELECT CAST(g.day AS INTEGER) AS day, coalesce(count, 0) AS count FROM (SELECT unnest(range(a, z + 1)) AS day FROM range_) g LEFT JOIN (SELECT day, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY day) USING (day)", *BOXES)
 def histogram_gapfill(s, d):
-    return explore.gap_filled(explore.by_day(_box(s, d).where("day % 3 <> 0")), FIRST, LAST)
+    rows, first, last = _box(s, d)
+    return explore.gap_filled(explore.by_day(rows), first, last)
 
 
 @query("SELECT min(day) AS first_day, max(day) AS last_day FROM merged", *CUBES)
@@ -501,9 +546,9 @@ def profile_points(s, d):
     return got.select("uid", "aspect", F.round(F.col("pct") * cap / 100, 2).alias("points"), text.percentile_label(F.col("total"), F.col("active"), F.col("pct")).alias("label"))
 
 
-@query(f"SELECT cell, count, CASE WHEN count >= 1000 THEN '{text.RAMP[4]}' WHEN count >= 200 THEN '{text.RAMP[3]}' WHEN count >= 50 THEN '{text.RAMP[2]}' WHEN count >= 10 THEN '{text.RAMP[1]}' ELSE '{text.RAMP[0]}' END AS colour, round(greatest(0, log10(count)), 6) AS log_count FROM (SELECT cell, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY cell)", *CUBES, BOX)
+@query(f"SELECT cell, count, CASE WHEN count >= 1000 THEN '{text.RAMP[4]}' WHEN count >= 200 THEN '{text.RAMP[3]}' WHEN count >= 50 THEN '{text.RAMP[2]}' WHEN count >= 10 THEN '{text.RAMP[1]}' ELSE '{text.RAMP[0]}' END AS colour, round(greatest(0, log10(count)), 6) AS log_count FROM (SELECT cell, CAST(sum(count) AS BIGINT) AS count FROM box GROUP BY cell)", *BOXES)
 def cell_colours(s, d):
-    return explore.by_cell(_box(s, d)).select("cell", "count", text.colour(F.col("count")).alias("colour"), F.round(F.greatest(F.lit(0.0), F.log10("count")), 6).alias("log_count"))
+    return explore.by_cell(_box(s, d)[0]).select("cell", "count", text.colour(F.col("count")).alias("colour"), F.round(F.greatest(F.lit(0.0), F.log10("count")), 6).alias("log_count"))
 
 
 STAMP, APPLIED = 23_970, 23_990
@@ -522,6 +567,27 @@ def merge_touched_years(s, d):
     return incremental.merge_years(st.where(F.col("seq") <= STAMP).drop("seq"), st, STAMP, APPLIED)
 
 
+@query(f"SELECT cell, day, CAST(sum(count) AS BIGINT) AS count FROM staged WHERE seq <= {APPLIED} GROUP BY ALL", b.STAGED)
+def cube_after_a_stop(s, d):
+    """Staged counts applied to stored years; the second run breaks off before its ledger moves, and a third with newer diffs does it again."""
+    from driftline.plans import runner
+
+    st, root = b.staged(s, d), scratch.folder(s, "store")
+
+    def run(first, last, commit):
+        store = runner.Store(s, root)
+        store.sweep()
+        new = st.where((F.col("seq") > first) & (F.col("seq") <= last)).groupBy("cell", "day", "year").agg(F.sum("count").alias("count"))
+        store.fold_parts("cube", new, runner.CUBE, "year", ["cell", "day"], "count", last)
+        if commit:
+            store.commit()
+        return store
+
+    run(0, STAMP, True)
+    run(STAMP, APPLIED - 10, False)
+    return runner.whole_cube(run(STAMP, APPLIED, True)).select("cell", "day", "count")
+
+
 @query("""SELECT seq, batch, lo, hi FROM plan""", b.EDITS, """diffs AS (SELECT id // 20 AS seq, min(secs) AS lo, max(secs) AS hi FROM edits GROUP BY ALL),
 numbered AS (SELECT *, row_number() OVER (ORDER BY seq) AS r FROM diffs),
 plan AS (WITH RECURSIVE p AS (
@@ -551,10 +617,10 @@ def area_vote(s, d):
     return finalize.area_vote(parts)
 
 
-@query("SELECT id, CASE WHEN d > 0 THEN round(d, 3) ELSE 0 END AS meters FROM (SELECT id, 2 * 6371000.0 * atan2(sqrt(a), sqrt(1 - a)) AS d FROM (SELECT id, least(1.0, greatest(0.0, pow(sin(radians(value / 10 - k) / 2), 2) + cos(radians(CAST(k AS DOUBLE))) * cos(radians(value / 10)) * pow(sin(radians(k + 1.0) / 2), 2))) AS a FROM edits WHERE k < 90))", b.EDITS)
+@query("SELECT id, CASE WHEN d > 0 THEN round(d, 3) ELSE 0 END AS meters FROM (SELECT id, 2 * 6371000.0 * atan2(sqrt(a), sqrt(1 - a)) AS d FROM (SELECT id, least(1.0, greatest(0.0, pow(sin(radians(value / 10 - k * 0.9) / 2), 2) + cos(radians(k * 0.9)) * cos(radians(value / 10)) * pow(sin(radians(k + 1.0) / 2), 2))) AS a FROM edits))", b.EDITS)
 def haversine(s, d):
-    e = b.edits(s, d).where("k < 90")
-    m = geo.haversine_m(F.col("k").cast("double"), F.lit(-1.0), F.col("value") / 10, F.col("k").cast("double"))
+    e = b.edits(s, d)
+    m = geo.haversine_m(F.col("k") * F.lit(0.9), F.lit(-1.0), F.col("value") / 10, F.col("k").cast("double"))
     return e.select("id", F.round(m, 3).alias("meters"))
 
 
@@ -604,9 +670,13 @@ def name_languages(s, d):
     return b.table(s, d, "documents").select("doc_id", key.alias("key"), names.name_lang(key).alias("lang"))
 
 
-@query(None)
+@query(
+    """SELECT 'node' AS type, id, concat_ws('; ', CASE WHEN l.name IS NOT NULL THEN 'name=' || l.name END, 'name:' || l.lang || '=' || l.own, CASE WHEN l.wiki IS NOT NULL THEN 'wikipedia:' || l.lang || '=' || l.wiki END) AS tags
+FROM (SELECT id, arg_max({'visible': visible, 'lang': lang, 'name': name, 'own': own, 'wiki': wiki}, version) AS l FROM tagged GROUP BY id) WHERE l.visible""",
+    b.TAGGED,
+)
 def last_name_tags(s, d):
-    return screens.last_tags(b.tagged(s, d)).withColumn("tags", F.to_json("tags"))
+    return screens.last_tags(b.tagged(s, d)).withColumn("tags", F.array_join(F.transform("tags", lambda t: F.concat(t["k"], F.lit("="), t["v"])), "; "))
 
 
 @query(None)

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import json
-import os
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import text, time
+from driftline.sources import fs
 
 
 def table(df: DataFrame, path: str, rows: int, stats: tuple[str, ...] = ()) -> None:
@@ -22,7 +22,7 @@ def table(df: DataFrame, path: str, rows: int, stats: tuple[str, ...] = ()) -> N
 
 def cube(df: DataFrame, path: str, rows: int = 10_000) -> None:
     """Partitions by year, each sorted by cell and day."""
-    w = df.withColumn("year", time.year_of_day("day")).repartition("year").sortWithinPartitions("cell", "day").write.mode("overwrite")
+    w = df.withColumn("year", time.year_of_day("day")).repartitionByRange("year", "cell", "day").sortWithinPartitions("year", "cell", "day").write.mode("overwrite")
     w.option("compression", "zstd").option("parquet.block.row.count.limit", rows).partitionBy("year").parquet(path)
 
 
@@ -67,52 +67,36 @@ def feed_entries(suspects: DataFrame, site: str = "", users: str = "#user=") ->
     return suspects.orderBy(F.desc("change_date"), "uid").select("change_date", "uid", entry.alias("entry"))
 
 
-def replace(path: str, content: str) -> None:
-    """Puts a file in place in one step."""
-    part = f"{path}.part"
-    with open(part, "w", encoding="utf-8") as f:
-        f.write(content)
-    os.replace(part, path)
-
-
 def feed(suspects: DataFrame, path: str, title: str = "Suspect activity", most: int | None = None) -> None:
     """The feed as one file. Entries come to the driver partition by partition and go straight to the file."""
     rows = feed_entries(suspects)
     newest = suspects.agg(F.max("change_date")).first()[0]
-    part = f"{path}.part"
-    with open(part, "w", encoding="utf-8") as f:
+    with fs.Writer(suspects.sparkSession, path) as f:
         f.write("<?xml version='1.0' encoding='utf-8'?>\n<feed xmlns='http://www.w3.org/2005/Atom'>\n")
         f.write(f"<title>{title}</title><id>tag:suspects</id><updated>{'1970-01-01' if newest is None else time.day_key(newest)}T00:00:00Z</updated>\n")
         for r in (rows.limit(most) if most else rows).toLocalIterator():
             f.write(r["entry"] + "\n")
         f.write("</feed>\n")
-    os.replace(part, path)
 
 
-def manifest(path: str, resolution: int, source: dict, centre: tuple[float, float] | None, date_range: tuple[int, int] | None, partitions: dict[str, dict[str, list[str]]], singles: dict[str, list[str]]) -> None:
+def manifest(spark: SparkSession, path: str, resolution: int, source: dict, centre: tuple[float, float] | None, date_range: tuple[int, int] | None, partitions: dict[str, dict[str, list[str]]], singles: dict[str, list[str]]) -> None:
     """What there is, where it came from and what it spans. partitions: dataset to year to files; singles: dataset to files. Footer sizes are read."""
     out: dict = {"h3_resolution": resolution, "source": source}
     if centre:
         out["spatial_center"] = list(centre)
     if date_range:
         out["date_range"] = {"min_date": time.day_key(date_range[0]), "max_date": time.day_key(date_range[1])}
-    sizes = lambda files: [footer_bytes(f) for f in files]
-    out["datasets"] = {n: {"path": n, "partitions": sorted(y), "partition_footer_sizes": {k: sizes(v) for k, v in sorted(y.items())}} for n, y in partitions.items()}
-    out["datasets"] |= {n: {"path": n, "partitions": [], "footer_size": sizes(f)} for n, f in singles.items() if f}
-    replace(path, json.dumps(out, indent=1))
-
-
-def files_of(folder: str) -> list[str]:
-    return sorted(os.path.join(folder, f) for f in os.listdir(folder) if f.endswith(".parquet")) if os.path.isdir(folder) else []
+    sizes = lambda files: [footer_bytes(spark, f) for f in files]
+    out["datasets"] = {n: {"path": n, "partitions": sorted(y), "files": {k: v for k, v in sorted(y.items())}, "partition_footer_sizes": {k: sizes(v) for k, v in sorted(y.items())}} for n, y in partitions.items()}
+    out["datasets"] |= {n: {"path": n, "partitions": [], "files": f, "footer_size": sizes(f)} for n, f in singles.items() if f}
+    fs.replace(spark, path, json.dumps(out, indent=1))
 
 
-def years_of(folder: str) -> dict[str, list[str]]:
-    """Year to files of a table partitioned by year."""
-    return {d.removeprefix("year="): files_of(os.path.join(folder, d)) for d in sorted(os.listdir(folder)) if d.startswith("year=")} if os.path.isdir(folder) else {}
+def files_of(spark: SparkSession, folder: str) -> list[str]:
+    """The Parquet files of a folder; none if it isn't there."""
+    return [f"{folder}/{name}" for name, is_dir, _ in fs.listed(spark, folder) if not is_dir and name.endswith(".parquet")]
 
 
-def footer_bytes(file: str) -> int:
+def footer_bytes(spark: SparkSession, file: str) -> int:
     """Size of a Parquet file's footer with its length and magic."""
-    with open(file, "rb") as f:
-        f.seek(-8, os.SEEK_END)
-        return int.from_bytes(f.read(4), "little") + 8
+    return int.from_bytes(fs.read_tail(spark, file, 8)[:4], "little") + 8

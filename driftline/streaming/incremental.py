@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from driftline.sources import fs
+
 SPAN_S = 3_600
 COMPACT = 10
 
@@ -70,8 +72,8 @@ def merge_years(base: DataFrame, staged: DataFrame, stamp: int, applied: int) ->
 
 
 def rewrite_years(rows: DataFrame, path: str) -> None:
-    """Replaces the partitions that ``rows`` has and leaves the others alone."""
-    rows.repartition("year").sortWithinPartitions("cell", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("year").parquet(path)
+    """Replaces the partitions that ``rows`` has and leaves the others alone. Not safe against a stop in between: runs write new folders instead (plans/runner)."""
+    rows.repartitionByRange("year", "cell", "day").sortWithinPartitions("year", "cell", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("year").parquet(path)
 
 
 def next_state(state: DataFrame, deleted: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -87,47 +89,51 @@ def compaction_due(base: int, overlay: int, deleted: int, ratio: int = COMPACT)
 
 
 class Ledger:
-    """Which sequence each dataset and partition has applied: a small JSON file, replaced in one step."""
+    """Which sequence each dataset and partition has applied: a small JSON file, replaced in one step for all entries of a run."""
 
-    def __init__(self, path: str):
-        self.path = path
-        self.entries: dict[str, int] = {}
-        if os.path.exists(path):
-            with open(path, encoding="utf-8") as f:
-                self.entries = json.load(f)
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.entries: dict[str, int] = json.loads(fs.read_text(spark, path)) if fs.exists(spark, path) else {}
 
     def applied(self, dataset: str, partition: str = "") -> int:
         return self.entries.get(f"{dataset}/{partition}", 0)
 
+    def known(self, dataset: str, partition: str = "") -> bool:
+        return f"{dataset}/{partition}" in self.entries
+
+    def partitions(self, dataset: str) -> dict[str, int]:
+        """Partition to applied sequence of a dataset that is kept by partition."""
+        return {k.removeprefix(f"{dataset}/"): v for k, v in self.entries.items() if k.startswith(f"{dataset}/") and k != f"{dataset}/"}
+
     def commit(self, dataset: str, seq: int, partition: str = "") -> None:
-        if seq < self.applied(dataset, partition):
-            raise ValueError("a ledger does not go back")
-        self.entries[f"{dataset}/{partition}"] = seq
-        part = f"{self.path}.part"
-        with open(part, "w", encoding="utf-8") as f:
-            json.dump(self.entries, f, sort_keys=True)
-        os.replace(part, self.path)
+        self.move({f"{dataset}/{partition}": seq})
+
+    def move(self, moves: dict[str, int]) -> None:
+        """Moves entries (``dataset/partition``), all or none."""
+        for k, seq in moves.items():
+            if seq < self.entries.get(k, 0):
+                raise ValueError(f"a ledger does not go back: {k}")
+        new = self.entries | moves
+        fs.replace(self.spark, self.path, json.dumps(new, sort_keys=True))
+        self.entries = new
 
 
 class Lock:
-    """One writer at a time."""
+    """One writer at a time: a file that only one run can create, removed when it ends. A run that breaks off leaves it; it is taken over after ``stale_s``."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, spark: SparkSession, path: str, stale_s: float = 24 * 3_600):
+        self.spark, self.path, self.stale_s = spark, path, stale_s
 
     def __enter__(self):
-        import fcntl
-
-        self.file = open(self.path, "w")  # noqa: SIM115
-        try:
-            fcntl.flock(self.file, fcntl.LOCK_EX | fcntl.LOCK_NB)
-        except OSError:
-            self.file.close()
-            raise RuntimeError(f"another run holds {self.path}") from None
+        owner = f"{self.spark.sparkContext.applicationId} {uuid.uuid4().hex}"
+        if not fs.create_new(self.spark, self.path, owner):
+            if fs.age_s(self.spark, self.path) < self.stale_s:
+                raise RuntimeError(f"another run holds {self.path}")
+            fs.replace(self.spark, self.path, owner)
         return self
 
     def __exit__(self, *_):
-        self.file.close()
+        fs.delete(self.spark, self.path)
 
 
 def run_stream(spark: SparkSession, source: str, schema, checkpoint: str, apply: Callable[[DataFrame, int], None], files: int | None = None) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftline import schemas
 from driftline.operators import activity, explore
-from driftline.sources import files, publish
+from driftline.sources import files, fs, publish
 from driftline.streaming import incremental
 from tests.conftest import rows
 
@@ -78,7 +78,7 @@ def test_table_options(spark, tmp_path):
     m = pq.read_metadata(f)
     assert m.num_row_groups == 5 and m.row_group(0).column(0).statistics.has_min_max and m.row_group(0).column(0).compression == "ZSTD"
     assert m.row_group(0).column(1).statistics is None or not m.row_group(0).column(1).statistics.has_min_max
-    assert publish.footer_bytes(str(f)) == m.serialized_size + 8
+    assert publish.footer_bytes(spark, str(f)) == m.serialized_size + 8
 
 
 def test_cube_partitions_and_rewrite(spark, tmp_path):
@@ -102,7 +102,7 @@ def test_feed_and_manifest(spark, tmp_path):
     publish.feed(s.limit(0), str(tmp_path / "feed.xml"))
     assert "1970-01-01" in (tmp_path / "feed.xml").read_text()
     publish.suspects(s, str(tmp_path / "s"))
-    publish.manifest(str(tmp_path / "m.json"), 9, {"url": "u"}, (1.0, 2.0), (19_723, 19_724), {}, {"suspect": publish.files_of(str(tmp_path / "s"))})
+    publish.manifest(spark, str(tmp_path / "m.json"), 9, {"url": "u"}, (1.0, 2.0), (19_723, 19_724), {}, {"suspect": publish.files_of(spark, str(tmp_path / "s"))})
     m = json.loads((tmp_path / "m.json").read_text())
     assert m["date_range"] == {"min_date": "2024-01-01", "max_date": "2024-01-02"} and m["datasets"]["suspect"]["footer_size"][0] > 8
     assert rows(explore.query_parquet(spark, str(tmp_path / "s"), schemas.SUSPECTS, "uid = 2", ["uid"], 5)) == [(2,)]
@@ -134,17 +134,41 @@ def test_next_state(spark):
     assert rows(o) == [(1, 5), (3, 8), (4, 9)] and rows(d) == [(2,)]
 
 
-def test_ledger_and_lock(tmp_path):
-    led = incremental.Ledger(str(tmp_path / "l.json"))
+def test_ledger_and_lock(spark, tmp_path):
+    led = incremental.Ledger(spark, str(tmp_path / "l.json"))
     led.commit("cube", 5, "2024")
-    assert incremental.Ledger(str(tmp_path / "l.json")).applied("cube", "2024") == 5 and led.applied("cube", "2023") == 0
+    again = incremental.Ledger(spark, str(tmp_path / "l.json"))
+    assert again.applied("cube", "2024") == 5 and led.applied("cube", "2023") == 0 and again.partitions("cube") == {"2024": 5} and not again.known("cube")
     with pytest.raises(ValueError):
         led.commit("cube", 4, "2024")
-    with incremental.Lock(str(tmp_path / "lock")):
+    with pytest.raises(ValueError):  # all or none
+        led.move({"history/": 6, "cube/2024": 4})
+    assert not led.known("history") and not incremental.Ledger(spark, str(tmp_path / "l.json")).known("history")
+    with incremental.Lock(spark, str(tmp_path / "lock")):
         with pytest.raises(RuntimeError):
-            incremental.Lock(str(tmp_path / "lock")).__enter__()
-    with incremental.Lock(str(tmp_path / "lock")):
+            incremental.Lock(spark, str(tmp_path / "lock")).__enter__()
+    with incremental.Lock(spark, str(tmp_path / "lock")):
         pass
+    (tmp_path / "lock").write_text("left by a run that broke off")
+    with incremental.Lock(spark, str(tmp_path / "lock"), stale_s=0):
+        pass
+
+
+def test_files_of_any_file_system(spark, tmp_path):
+    path = str(tmp_path / "a/b.txt")
+    assert not fs.exists(spark, path) and fs.listed(spark, str(tmp_path / "a")) == []
+    fs.replace(spark, path, "one é")
+    fs.replace(spark, f"file://{path}", "two é")
+    assert fs.read_text(spark, path) == "two é" and fs.read_tail(spark, path, 2).decode() == "é" and [x[0] for x in fs.listed(spark, str(tmp_path / "a"))] == ["b.txt"]
+    (tmp_path / "a/b.txt").write_text("edited by hand")
+    assert fs.read_text(spark, path) == "edited by hand"
+    with pytest.raises(ZeroDivisionError):
+        with fs.Writer(spark, path) as f:
+            f.write("half")
+            1 / 0  # noqa: B018
+    assert fs.read_text(spark, path) == "edited by hand"
+    fs.delete(spark, str(tmp_path / "a"))
+    assert not (tmp_path / "a").exists()
 
 
 def test_stream_applies_each_file_once(spark, tmp_path):
