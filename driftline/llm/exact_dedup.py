@@ -5,6 +5,7 @@
 2. These owners go, by length and content hash, to partitions that insert the whole byte strings into a compressed radix
    trie. A terminal node holds the smallest identifier and its groups. When the trie outgrows its memory, its largest
    subtree goes to a file of the task and is worked through afterwards.
+   (That file is the task's own: a task that is run again writes it again, and no other task reads it.)
 3. Each row gets its answer by the small number of its local group (never by its text or hash: no hot key).
 
 Null texts count as empty. Rows that repeat an id are rows of their own; only one row of a class is kept, the first with the
@@ -174,28 +175,28 @@ class Owners:
         return self.classes[self.trie.insert(s)]
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, keep_id, group_size, kept, text_sha256 of each row."""
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hashes: bool = False) -> DataFrame:
+    """id, keep_id, group_size, kept, text_sha256 of each row; with ``hashes`` also text_hash, which tells rows of one id apart (xxhash64 of the text as it is)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 32
-        names = ["id", "grp", "own", "n", "sha", "text"]
-        groups: dict[bytes, list] = {}
+        names = ["id", "grp", "own", "n", "sha", "text", "h"]
+        groups: dict[bytes, tuple[list, list]] = {}
         held = made = 0
         kinds = None
 
         def flush():
             nonlocal made
             cols: list[list] = [[] for _ in names]
-            for text, ids in groups.items():
+            for text, (ids, marks) in groups.items():
                 least = min((i for i in ids if i is not None), default=None)
                 owner = ids.index(least)
                 sha = hashlib.sha256(text).hexdigest()
-                for k, i in enumerate(ids):
-                    for c, v in zip(cols, (i, base + made, k == owner, len(ids) if k == owner else 0, sha if k == owner else None, text if k == owner else None), strict=True):
+                for k, (i, h) in enumerate(zip(ids, marks, strict=True)):
+                    for c, v in zip(cols, (i, base + made, k == owner, len(ids) if k == owner else 0, sha if k == owner else None, text if k == owner else None, h), strict=True):
                         c.append(v)
                 made += 1
                 if len(cols[0]) >= 20_000:
@@ -206,14 +207,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             groups.clear()
 
         for b in batches:
-            kinds = [b.column(0).type, pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.binary()]
-            for i, t in zip(b.column(0).to_pylist(), pa.compute.fill_null(b.column(1), "").cast(pa.binary()).to_pylist(), strict=True):
+            kinds = [b.column(0).type, pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.binary(), pa.int64()]
+            for i, t, h in zip(b.column(0).to_pylist(), pa.compute.fill_null(b.column(1), "").cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
                 s = normalise(t)
-                if s in groups:
-                    groups[s].append(i)
-                else:
-                    groups[s] = [i]
-                    held += len(s) + 200
+                if s not in groups:
+                    groups[s] = ([], [])
+                    held += len(s) + 300
+                groups[s][0].append(i)
+                groups[s][1].append(h)
+                held += 16
                 if held > LOCAL_BYTES:
                     yield from flush()
                     held = 0
@@ -239,11 +241,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if rows:
             yield batch()
 
-    rows = common.written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(local, f"id {kind}, grp long, own boolean, n long, sha string, text binary"), "exact")
+    rows = common.written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h")).mapInArrow(local, f"id {kind}, grp long, own boolean, n long, sha string, text binary, h long"), "exact")
     own = rows.where("own").select("grp", "id", "n", "text")
     classes = own.repartition(F.length("text"), F.xxhash64("text")).select("grp", "id", "n", "text").mapInArrow(owners, f"grp long, keep_id {kind}, group_size long, first boolean")
     classes = classes.join(rows.where("own").select("grp", "sha"), "grp")
-    return rows.select("id", "grp", "own").join(classes, "grp").select(F.col("id").alias(id_col), "keep_id", "group_size", (F.col("own") & F.col("first")).alias("kept"), F.col("sha").alias("text_sha256"))
+    mark = [F.col("h").alias("text_hash")] * hashes
+    return rows.select("id", "grp", "own", "h").join(classes, "grp").select(F.col("id").alias(id_col), "keep_id", "group_size", (F.col("own") & F.col("first")).alias("kept"), F.col("sha").alias("text_sha256"), *mark)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
