@@ -1,6 +1,7 @@
 """A training corpus in five stages: toxicity, exact dedup, n-gram Jaccard join, substring dedup, best-fit packing.
 
 Every stage is written as Parquet and read again as the next one's documents. All but the last return the columns of ``documents``.
+Of an empty table every stage makes an empty one.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from driftline.llm import common, exact_dedup, jaccard_join, packing, substring_
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score of 0.5 or more go. Fits on labels outside the held-out fold."""
+    """Documents with a score of 0.5 or more go; null and empty texts have the score of no words. Fits on labels outside the held-out fold."""
     net = toxicity.train(docs, common.table(spark, sf_dir, "labels").where(~toxicity.held_out()))
     out = "score"
     while out in docs.columns:
@@ -23,38 +24,38 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.score(docs, net, out=out, keep_text=True).where(F.col(out) < 0.5).drop(out)
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with these ids (doc_id, times); of rows that repeat an id and its text, one. Rows without id stay.
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts one row stays, that with the smallest id (null ids come last). Rows are told apart by id and text, so an id may keep one text and lose another.
 
-    The hint makes the plan the same at every size.
+    Hints make the plan the same at every size.
     """
-    kept = docs.join(ids.hint("merge"), docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    if ids.agg(F.count("doc_id") < F.sum("times")).first()[0]:
+    got = common.written(exact_dedup.exact_dedup(docs, hashes=True).select("doc_id", "text_hash", "kept"), "kept")
+    rows = got.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times")).where("kept")
+    here = docs["doc_id"].eqNullSafe(rows["doc_id"]) & (F.xxhash64(docs["text"]) == rows["text_hash"])
+    kept = docs.join(rows.hint("merge"), here, "left_semi")
+    if not rows.where("times > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept
 
 
-def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest id stays."""
-    got = common.written(exact_dedup.exact_dedup(docs).select("doc_id", "kept"), "kept")
-    ids = got.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("doc_id").alias("times")).where("kept")
-    return _only(docs, ids)
-
-
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates the document with the smallest id stays, with all its rows. Rows without id are in no group and stay."""
     got = common.written(jaccard_join.jaccard_components(docs), "near")
-    ids = got.where("doc_id is null or doc_id = component_id").groupBy("doc_id").agg(F.count("doc_id").alias("times"))
-    return _only(docs, ids)
+    ids = got.where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
+    return docs.join(ids.hint("merge"), docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages are cut out of all documents but the first that has them; what is left without a word goes."""
+    """Repeated passages are cut out of all documents but the first that has them; what is left without a word goes.
+
+    Each row of a repeated id is cut by its own passages. Rows without id or text stay as they are.
+    """
     spans = common.written(substring_dedup.repeated_spans(docs), "spans")
     return substring_dedup.without_spans(docs, spans)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences; null texts are empty."""
     return packing.pack(docs)
 
 
