@@ -326,6 +326,22 @@ def test_pipeline_stages(spark, sf):
     assert {r.doc_id for r in docs.collect()} == ids
 
 
+def test_pipeline_tells_rows_apart(spark, docs, sf):
+    """Null ids and ids with several texts: each row by its own text."""
+    import corpus_pipeline as p
+
+    r = random.Random(3)
+    a, b, c = words(r, 30, 9_000), words(r, 30, 9_000), words(r, 30, 9_000)
+    df = docs([(1, a), (2, a), (2, b), (None, a), (None, c), (None, c.replace(" ", "  ")), (3, c + " x"), (4, b), (1, a)])
+    got = sorted(((x.doc_id or 0, x.text) for x in p.exact_stage(spark, df, sf).collect()))
+    assert got[0][0] == 0 and normal(got[0][1]) == c and got[1:] == [(1, a), (2, b), (3, c + " x")]
+    near = p.near_stage(spark, docs([(1, a), (2, a + " y"), (None, a), (None, b)]), sf).collect()
+    assert sorted((x.doc_id or 0, x.text) for x in near) == sorted([(0, a), (0, b), (1, a)])
+    wide = "é日本ü " * 700
+    cut = p.substring_stage(spark, docs([(1, a + " " + b), (2, wide + "ende"), (2, c + " " + a + " " + b), (None, a)]), sf).collect()
+    assert {x.text for x in cut if x.doc_id != 2} == {a + " " + b, a} and {x.text for x in cut if x.doc_id == 2 and "é" in x.text} and len(cut) == 4
+
+
 def test_pipeline_odd(spark, odd, sf):
     import corpus_pipeline as p
 
