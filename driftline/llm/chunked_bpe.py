@@ -1,13 +1,17 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 A rolling hash over the characters cuts each text where the content says so; so documents that share a passage share
-its chunks. A chunk is encoded once and its ids are reused. Tokens next to a cut can differ from those of the
-whole text: each join is re-encoded between a safe boundary of the left chunk and one of the right chunk, and widened
-until the ids at both outer edges agree with what the chunks had; then the ids are those of the whole text exactly.
+its chunks.
 
-Documents are first brought together by the smallest chunk hash (documents with shared content tend to share it), with
-a REBALANCE exchange: it may split a hot key over many tasks, since meeting there only saves work and changes no result.
-Null texts count as empty; ids may be null or repeat; an empty table gives no rows.
+1. Every text is cut, and its chunks' digests (128 bits) are counted over all documents: numbers only.
+2. Chunks that occur more than once are gathered by digest, each encoded once, and written with its ids. A table of BITS bits over the
+   shared digests (fixed size; a chance hit only gathers a chunk in vain) tells the scan which chunks to send.
+3. Each document gets the ids of its shared chunks (a join by a hash of its whole text, which tells equal texts' lists apart from nothing
+   else) and encodes only the others itself. Tokens next to a cut can differ from those of the whole text: each join is
+   re-encoded between a safe boundary of the left chunk and one of the right chunk, and widened until the ids at both outer edges
+   agree with what the chunks had; then the ids are those of the whole text exactly.
+
+``report`` counts what is encoded and what is reused. Null texts count as empty; ids may be null or repeat; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,14 +23,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import bpe, common
 
 WINDOW = 32
-MEAN = 1024
-LEAST, MOST = 256, 8192
+MEAN = 512
+LEAST, MOST = 128, 8192
 CACHE_CHARS = 16 << 20
+BITS = 1 << 24
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,26 +57,37 @@ def rolling(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def cuts(text: str) -> tuple[list[int], int]:
-    """Ends of the chunks of ``text``, and the smallest hash at a cut (0 if there's none)."""
+def cuts(text: str) -> list[int]:
+    """Ends of the chunks of ``text``."""
     n = len(text)
     if n <= LEAST:
-        return [n], 0
+        return [n]
     h = rolling(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
-    at = np.flatnonzero((h & np.uint64(MEAN - 1)) == 0)
-    ends, last, key = [], 0, 0
-    for e, v in zip((at + WINDOW).tolist(), h[at].tolist(), strict=True):
+    ends, last = [], 0
+    for e in (np.flatnonzero((h & np.uint64(MEAN - 1)) == 0) + WINDOW).tolist():
         while e - last > MOST:
             last += MOST
             ends.append(last)
         if e - last >= LEAST and n - e >= LEAST:
             ends.append(e)
             last = e
-            key = v if not key else min(key, v)
     while n - last > MOST:
         last += MOST
         ends.append(last)
-    return [*ends, n], key
+    return [*ends, n]
+
+
+def chunks(text: str) -> list[str]:
+    ends = cuts(text) if text else []
+    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def digest(chunk: str) -> bytes:
+    return xxhash.xxh3_128_digest(chunk.encode("utf-8", "surrogatepass"))
+
+
+def bit(d: bytes) -> int:
+    return int.from_bytes(d[:8], "little") % BITS
 
 
 def _safe_right(text: str, k: int) -> int:
@@ -103,9 +121,14 @@ class ChunkCoder:
         self.bpe = bpe.load(path)
         self.cache: OrderedDict[str, list[int]] = OrderedDict()
         self.left = cache_chars
+        self.given: dict[bytes, bytes] = {}
         self.hits = self.misses = 0
 
     def chunk(self, text: str) -> list[int]:
+        """Ids of a chunk: those that came with the document, else those of its last encoding here."""
+        if self.given and (ready := self.given.get(digest(text))) is not None:
+            self.hits += 1
+            return np.frombuffer(ready, "<i4").tolist()
         ids = self.cache.get(text)
         if ids is not None:
             self.hits += 1
@@ -142,10 +165,9 @@ class ChunkCoder:
         return ids
 
     def plain(self, text: str) -> list[int]:
-        ends, _ = cuts(text)
-        if len(ends) == 1:
+        parts = chunks(text)
+        if len(parts) < 2:
             return self.chunk(text) if text else []
-        parts = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
         ids: list[int] = []
         open_text, open_ids = parts[0], self.chunk(parts[0])
         for part in parts[1:]:
@@ -161,22 +183,89 @@ class ChunkCoder:
         return ids + open_ids
 
 
+def _found(src: DataFrame, path: str) -> DataFrame:
+    """h, digest and bit of every chunk of the texts (h, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = bpe.load(path)
+        for b in common.by_bytes(batches, "text", 4 << 20):
+            h, d = [], []
+            for own, t in zip(b.column(0).to_pylist(), pa.compute.fill_null(b.column(1), "").to_pylist(), strict=True):
+                got = [digest(c) for part, added in coder.parts(t) if added is None for c in chunks(part)]
+                h += [own] * len(got)
+                d += got
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(d, pa.binary()), pa.array(map(bit, d), pa.int64())], ["h", "digest", "bit"])
+
+    return src.select("h", "text").mapInArrow(run, "h long, digest binary, bit long")
+
+
+def _bitmap(shared: DataFrame) -> bytes:
+    """BITS bits, those of the shared digests set: of fixed size."""
+    number, place = F.expr("bitmap_bucket_number(bit + 1)"), F.expr("bitmap_bit_position(bit + 1)")
+    rows = shared.groupBy(number.alias("k")).agg(F.bitmap_construct_agg(place).alias("bits")).collect()
+    out = bytearray(BITS // 8)
+    for r in rows:
+        out[(r["k"] - 1) * 4096 : r["k"] * 4096] = r["bits"]
+    return bytes(out)
+
+
+def shared_ids(src: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Of the texts (h, text): h with the digests and ids of its chunks that occur more than once, and the table of all chunks."""
+    found = common.written(_found(src, path), "chunks")
+    shared = common.written(found.groupBy("digest", "bit").agg(F.count("h").alias("n")).where("n > 1"), "shared")
+    bits = src.sparkSession.sparkContext.broadcast(_bitmap(shared))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, held, sent = bpe.load(path), bits.value, set()
+        for b in common.by_bytes(batches, "text", 4 << 20):
+            out: dict[bytes, str] = {}
+            for t in pa.compute.fill_null(b.column(0), "").to_pylist():
+                for part, added in coder.parts(t):
+                    for c in chunks(part) if added is None else []:
+                        d = digest(c)
+                        if held[(k := bit(d)) >> 3] >> (k & 7) & 1 and d not in sent:
+                            out[d] = c
+            sent = sent | out.keys() if len(sent) < 1 << 20 else set(out)
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.string())], ["digest", "chunk"])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = bpe.load(path)
+        for b in common.by_bytes(batches, "chunk", 4 << 20):
+            ids = [np.array(coder.encode(c), "<i4").tobytes() for c in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["digest", "ids"])
+
+    once = src.select("text").mapInArrow(gather, "digest binary, chunk string").groupBy("digest").agg(F.first("chunk").alias("chunk"))
+    ids = common.written(once.mapInArrow(encode, "digest binary, ids binary"), "ids")
+    # a chunk may be in a third of all texts: both sides are plain exchanges, so Spark may split it
+    use = found.select("h", "digest").distinct().join(ids.hint("merge"), "digest")
+    return common.written(use.groupBy("h").agg(F.collect_list(F.struct("digest", "ids")).alias("given")), "given"), found
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("h"))
+
+
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> dict[str, int]:
+    """chunks: how many there are in all texts; distinct: how many of them differ; shared: those that occur more than once, encoded once each."""
+    found = _found(_source(docs, id_col, text_col), path or bpe.default_path()).groupBy("digest").agg(F.count("h").alias("n"))
+    r = found.agg(F.sum("n").alias("chunks"), F.count("n").alias("distinct"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("shared")).first()
+    return {k: v or 0 for k, v in r.asDict().items()}
+
+
 def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, keep_ids: bool = False) -> DataFrame:
     """id, n_tokens, ids_sha256, decoded_sha256 of each row; with ``keep_ids`` also ids (array) and decoded (text)."""
     path = path or bpe.default_path()
     kind = docs.schema[id_col].dataType.simpleString()
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = [cuts(t)[1] or len(t) for t in pa.compute.fill_null(b.column(1), "").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(keys, np.uint64).view(np.int64))], ["id", "text", "meet"])
+    src = _source(docs, id_col, text_col)
+    given, _ = shared_ids(src, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = ChunkCoder(path)
         names = coder.bpe.names
         for b in common.by_bytes(batches, "text", 4 << 20):
             n, ids_sha, text_sha, all_ids, texts = [], [], [], [], []
-            for t in pa.compute.fill_null(b.column(1), "").to_pylist():
+            for t, own in zip(pa.compute.fill_null(b.column(1), "").to_pylist(), b.column(2).to_pylist(), strict=True):
+                coder.given = {g["digest"]: g["ids"] for g in own or []}
                 ids = coder.encode(t)
                 back = coder.bpe.decode_bytes(ids)
                 n.append(len(ids))
@@ -190,8 +279,9 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 cols += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(cols)])
 
-    met = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(route, f"id {kind}, text string, meet long").hint("rebalance", "meet")
-    return met.select("id", "text").mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids)
+    # hinted, so that the plan is the same at every size; both sides are plain exchanges, so Spark may split a text that many rows have
+    rows = src.join(given.hint("merge"), "h", "left").select("id", "text", "given")
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids)
 
 
 def op1_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:

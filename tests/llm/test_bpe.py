@@ -56,7 +56,7 @@ def test_chunks_join_exactly(ref):
 def test_chunks_are_shared_and_cut_by_content():
     r = random.Random(3)
     body = words(r, 4_000)
-    cut = lambda t: {t[a:b] for a, b in zip([0, *chunked_bpe.cuts(t)[0]], chunked_bpe.cuts(t)[0], strict=False)}
+    cut = lambda t: set(chunked_bpe.chunks(t))
     one, two = cut(body), cut("something before it " + body)
     assert len(one & two) > 0.7 * len(one)
 
@@ -67,6 +67,21 @@ def test_join_repairs_a_word_cut_in_two(ref):
     assert c.join(left, c.chunk(left), right, c.chunk(right)) == ids_of(ref, left + right)
 
 
+def test_shared_chunks_are_encoded_once(spark, docs, ref):
+    """Texts share passages across partitions, repeat as a whole, and hold added tokens: all ids are the library's."""
+    r = random.Random(14)
+    body = words(r, 3_000)
+    texts = [words(r, r.randrange(200)) + body[a : a + 6_000] + r.choice(["", "<|endoftext|>"]) + words(r, r.randrange(200)) for a in range(0, 9_000, 700)] * 2 + ["", None, "<|endoftext|>", body, body]
+    df = docs(texts).repartition(5)
+    given, found = chunked_bpe.shared_ids(chunked_bpe._source(df, "doc_id", "text"), bpe.default_path())
+    told = chunked_bpe.report(df)
+    assert given.count() > 10 and told["chunks"] == found.count() and told["distinct"] < 0.5 * told["chunks"]
+    for x in given.collect():
+        assert len({g.digest for g in x.given}) == len(x.given)
+    got = {x.doc_id: list(x.ids) for x in chunked_bpe.encode_decode(df, keep_ids=True).collect()}
+    assert all(got[i] == ids_of(ref, t) for i, t in enumerate(texts)) and len(got) == len(texts)
+
+
 def test_op1_rows(spark, odd, ref):
     got = sorted(tuple(r) for r in chunked_bpe.encode_decode(odd).collect() if r.doc_id is not None)
     want = []
