@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import time
+from driftline.schemas import TAG_KEYS
 
 KM2 = 10.0
 
@@ -62,7 +63,7 @@ WAYS = """ways AS (
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """uid, username, day, ord, kind, visible, version, tags from orders."""
-    keys = F.array(*(F.lit(k) for k in ("amenity", "boundary", "building", "highway", "landuse", "leisure", "name", "natural", "place", "railway", "sport", "waterway")))
+    keys = F.array(*(F.lit(k) for k in TAG_KEYS))
     name = F.when(F.col("o_custkey") % 11 == 0, "").otherwise(F.concat(F.lit("c"), (F.col("o_custkey") % 97).cast("string")))
     key = F.get(keys, (F.col("o_orderkey") % 12).cast("int"))
     return table(spark, sf_dir, "orders").select(
@@ -74,7 +75,7 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 VERSIONS = """versions AS (
   SELECT o_custkey AS uid, CASE WHEN o_custkey % 11 = 0 THEN '' ELSE 'c' || (o_custkey % 97) END AS username, CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS INTEGER) AS day, o_orderkey AS ord, o_orderkey % 3 AS kind, o_orderstatus <> 'P' AS visible,
     CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 1 ELSE 2 END AS version,
-    ['amenity', 'boundary', 'building', 'highway', 'landuse', 'leisure', 'name', 'natural', 'place', 'railway', 'sport', 'waterway'][o_orderkey % 12 + 1] AS key FROM orders)"""
+    __KEYS__[o_orderkey % 12 + 1] AS key FROM orders)""".replace("__KEYS__", str(list(TAG_KEYS)))
 
 
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:

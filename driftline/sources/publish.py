@@ -47,6 +47,7 @@ def feed_entries(suspects: DataFrame, site: str = "", users: str = "#user=") ->
     quoted = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
     name, set_ = text.escape_xml(F.col("username")), lambda bit: flag.bitwiseAND(F.lit(bit)) != 0
     terms = F.concat(text.filter_terms(flag), F.transform("countries", text.escape_xml))
+    # fixed wording, filter numbers and order: readers of the feed tell the filters apart by it
     lines: list[Column] = [
         quoted("Flagged edit day for ", name, " on ", day, "."),
         quoted("Changes: ", whole("changes"), " | Ranking at day: #", whole("ranking_at_day")),
