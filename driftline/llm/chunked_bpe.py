@@ -87,7 +87,8 @@ def digest(chunk: str) -> bytes:
 
 
 def bit(d: bytes) -> int:
-    return int.from_bytes(d[:8], "little") % BITS
+    """The place of a digest in the table of bits: Spark's xxhash64 modulo BITS."""
+    return xxhash.xxh64_intdigest(d, 42) % BITS
 
 
 def _safe_right(text: str, k: int) -> int:
@@ -184,7 +185,7 @@ class ChunkCoder:
 
 
 def _found(src: DataFrame, path: str) -> DataFrame:
-    """h, digest and bit of every chunk of the texts (h, text)."""
+    """h and digest of every chunk of the texts (h, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe.load(path)
@@ -194,14 +195,15 @@ def _found(src: DataFrame, path: str) -> DataFrame:
                 got = [digest(c) for part, added in coder.parts(t) if added is None for c in chunks(part)]
                 h += [own] * len(got)
                 d += got
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(d, pa.binary()), pa.array(map(bit, d), pa.int64())], ["h", "digest", "bit"])
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(d, pa.binary())], ["h", "digest"])
 
-    return src.select("h", "text").mapInArrow(run, "h long, digest binary, bit long")
+    return src.select("h", "text").mapInArrow(run, "h long, digest binary")
 
 
 def _bitmap(shared: DataFrame) -> bytes:
     """BITS bits, those of the shared digests set: of fixed size."""
-    number, place = F.expr("bitmap_bucket_number(bit + 1)"), F.expr("bitmap_bit_position(bit + 1)")
+    bit_ = F.pmod(F.xxhash64("digest"), F.lit(BITS)) + 1
+    number, place = F.bitmap_bucket_number(bit_), F.bitmap_bit_position(bit_)
     rows = shared.groupBy(number.alias("k")).agg(F.bitmap_construct_agg(place).alias("bits")).collect()
     out = bytearray(BITS // 8)
     for r in rows:
@@ -209,10 +211,10 @@ def _bitmap(shared: DataFrame) -> bytes:
     return bytes(out)
 
 
-def shared_ids(src: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """Of the texts (h, text): h with the digests and ids of its chunks that occur more than once, and the table of all chunks."""
+def shared_ids(src: DataFrame, path: str) -> DataFrame:
+    """Of the texts (h, text): h with the digests and ids of its chunks that occur more than once."""
     found = common.written(_found(src, path), "chunks")
-    shared = common.written(found.groupBy("digest", "bit").agg(F.count("h").alias("n")).where("n > 1"), "shared")
+    shared = found.groupBy("digest").agg(F.count("h").alias("n")).where("n > 1")
     bits = src.sparkSession.sparkContext.broadcast(_bitmap(shared))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +240,9 @@ def shared_ids(src: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     ids = common.written(once.mapInArrow(encode, "digest binary, ids binary"), "ids")
     # a chunk may be in a third of all texts: both sides are plain exchanges, so Spark may split it
     use = found.select("h", "digest").distinct().join(ids.hint("merge"), "digest")
-    return common.written(use.groupBy("h").agg(F.collect_list(F.struct("digest", "ids")).alias("given")), "given"), found
+    given = common.written(use.groupBy("h").agg(F.collect_list(F.struct("digest", "ids")).alias("given")), "given")
+    common.forget(found, ids)
+    return given
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -257,7 +261,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     path = path or bpe.default_path()
     kind = docs.schema[id_col].dataType.simpleString()
     src = _source(docs, id_col, text_col)
-    given, _ = shared_ids(src, path)
+    given = shared_ids(src, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = ChunkCoder(path)

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from driftline.llm import bpe, chunked_bpe, packing, token_counts
@@ -73,9 +74,10 @@ def test_shared_chunks_are_encoded_once(spark, docs, ref):
     body = words(r, 3_000)
     texts = [words(r, r.randrange(200)) + body[a : a + 6_000] + r.choice(["", "<|endoftext|>"]) + words(r, r.randrange(200)) for a in range(0, 9_000, 700)] * 2 + ["", None, "<|endoftext|>", body, body]
     df = docs(texts).repartition(5)
-    given, found = chunked_bpe.shared_ids(chunked_bpe._source(df, "doc_id", "text"), bpe.default_path())
+    given = chunked_bpe.shared_ids(chunked_bpe._source(df, "doc_id", "text"), bpe.default_path())
     told = chunked_bpe.report(df)
-    assert given.count() > 10 and told["chunks"] == found.count() and told["distinct"] < 0.5 * told["chunks"]
+    assert given.count() > 10 and told["distinct"] < 0.5 * told["chunks"] < told["shared"] <= told["chunks"]
+    assert not given.selectExpr("explode(given) g").groupBy("g.digest").agg(F.countDistinct("g.ids").alias("k")).where("k > 1").count()
     for x in given.collect():
         assert len({g.digest for g in x.given}) == len(x.given)
     got = {x.doc_id: list(x.ids) for x in chunked_bpe.encode_decode(df, keep_ids=True).collect()}
