@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_threshold_top_k": topk.OP4_SQL, "op8_url_templates": urls.OP8_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL}
+    return {"op3_jaccard_join": jaccard_join.OP3_SQL, "op4_threshold_top_k": topk.OP4_SQL, "op8_url_templates": urls.OP8_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL}

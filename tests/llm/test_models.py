@@ -303,7 +303,7 @@ def test_alike_branches_grow_together(spark):
     assert by[50] == "block" and by[51] == "allow" and by[52] == "allow"
 
 
-@pytest.mark.parametrize("name", ["op4_threshold_top_k", "op8_url_templates", "op10_exact_dedup"])
+@pytest.mark.parametrize("name", ["op3_jaccard_join", "op4_threshold_top_k", "op8_url_templates", "op10_exact_dedup"])
 def test_against_sql(spark, sf, name):
     import glob
     import os
