@@ -37,6 +37,7 @@ class Options:
     spread: dict = field(default_factory=dict)
     coverage: dict = field(default_factory=dict)
     compact: int = incremental.COMPACT
+    groups: tuple[int, int, int] = (10_000, 10_000, 1_000)  # rows of a Parquet row group: cube, history, ranking
 
 
 def prepared(versions: DataFrame, resolution: int) -> DataFrame:
@@ -76,9 +77,10 @@ class Store:
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def write(self, name: str, df: DataFrame, seq: int) -> DataFrame:
+    def write(self, name: str, df: DataFrame, seq: int, rows: int | None = None) -> DataFrame:
         path = self.path(name, seq)
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        w = df.write.mode("overwrite").option("compression", "zstd")
+        (w.option("parquet.block.row.count.limit", rows) if rows else w).parquet(path)
         self.moves[f"{name}/"] = seq
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -105,13 +107,13 @@ class Store:
             if is_dir and folder.startswith(f"{part}="):
                 self.moves[f"{name}/{folder.removeprefix(f'{part}=')}"] = seq
 
-    def fold_parts(self, name: str, new: DataFrame, schema, part: str, keys: list[str], n: str, seq: int) -> DataFrame:
+    def fold_parts(self, name: str, new: DataFrame, schema, part: str, keys: list[str], n: str, seq: int, rows: int = 10_000) -> DataFrame:
         """Adds the new counts to the partitions that they touch and gives the whole table after it."""
         new = self.scratch(f"new_{name}", new.select(*schema.names), seq)
         touched = [r[0] for r in new.select(part).distinct().collect()]  # a row a year, or a span of days, of the diffs
         if touched:
             both = self.read_parts(name, schema, part, touched).unionByName(new)
-            self.write_parts(name, both.groupBy(part, *keys).agg(F.sum(n).alias(n)), part, keys, seq)
+            self.write_parts(name, both.groupBy(part, *keys).agg(F.sum(n).alias(n)), part, keys, seq, rows)
         return self.read_parts(name, schema, part, new=True)
 
     def commit(self) -> None:
@@ -177,25 +179,24 @@ def run_import(spark: SparkSession, versions: DataFrame, options: Options, seq:
         history = store.scratch("positions", cube.positions(nodes), seq)
         ways = rows.where("type = 'way'").select("id", "version", "visible", "day", "refs")
         counts = cube.by_year(cube.merged(cube.counted(cube.node_events(nodes)), cube.counted(cube.way_events(ways, history))))
-        store.write_parts("cube", counts.select(*CUBE.names), "year", ["cell", "day"], seq)
+        store.write_parts("cube", counts.select(*CUBE.names), "year", ["cell", "day"], seq, options.groups[0])
         store.write("centres", _centres(whole_cube(store, new=True)), seq)
         alive = nodes.groupBy("id").agg(F.max_by("visible", "version").alias("v")).where("v").select(F.col("id").alias("node"))
         store.write("nodes", cube.last_positions(history).join(alive, "node", "left_semi").select("node", "cell"), seq)
         store.write("tags", screens.last_tags(rows), seq)
-        for name, schema in (("overlay", NODES), ("deleted", NODE), ("tags_over", TAGS), ("tags_touched", OBJECTS), ("suspects", schemas.SUSPECTS)):
+        for name, schema in (("overlay", NODES), ("deleted", NODE), ("tags_over", TAGS), ("tags_touched", OBJECTS)):
             store.write(name, spark.createDataFrame([], schema), seq)
         days = store.scratch("days", activity.user_days(rows), seq)
         users = store.write("totals", activity.totals(days), seq)
-        store.write("history", activity.history(days), seq)
-        _rank(store, users, seq)
+        store.write("history", activity.history(days).orderBy("uid", "change_date"), seq, options.groups[1])
+        _rank(store, users, seq, options)
         store.commit()
         _publish(store, options)
 
 
-def _rank(store: Store, users: DataFrame, seq: int) -> DataFrame:
-    ranked = activity.ranking(users)
+def _rank(store: Store, users: DataFrame, seq: int, options: Options) -> DataFrame:
     store.write("ranking_stats", activity.ranking_stats(users), seq)
-    return store.write("ranking", ranked, seq)
+    return store.write("ranking", activity.ranking(users).orderBy("username", "uid"), seq, options.groups[2])
 
 
 def _node_batch(rows: DataFrame, base: DataFrame, overlay: DataFrame, deleted: DataFrame, options: Options):
@@ -251,7 +252,7 @@ def run_update(spark: SparkSession, diffs: DataFrame, options: Options, places=N
             spots = join(spots, edits.cell_counts(nodes, ways.withColumnRenamed("id", "way")))
             moved = join(moved, moves)
         moved = store.scratch("moves", moved, seq)
-        store.fold_parts("cube", cube.by_year(cube.counted(events)), CUBE, "year", ["cell", "day"], "count", seq)
+        store.fold_parts("cube", cube.by_year(cube.counted(events)), CUBE, "year", ["cell", "day"], "count", seq, options.groups[0])
         _new_centres(store, seq)
         by_minute = lambda df: df.withColumn("span", _span(time.day_of_minute("minute")))
         fold = lambda name, new, keys: store.fold_parts(name, new, SPANS[name], "span", keys, "n", seq)
@@ -263,7 +264,7 @@ def run_update(spark: SparkSession, diffs: DataFrame, options: Options, places=N
 
         days = store.scratch("days", activity.user_days(rows), seq)
         users = store.write("totals", activity.merged_totals(store.read("totals", TOTALS), activity.totals(days)), seq)
-        ranked = _rank(store, users, seq)
+        ranked = _rank(store, users, seq, options)
         previous = store.read("suspects", schemas.SUSPECTS)
         hist = finalize.history_merge(store.read("history", schemas.HISTORY), activity.history(days))
         flagged = finalize.flagged(
@@ -271,7 +272,7 @@ def run_update(spark: SparkSession, diffs: DataFrame, options: Options, places=N
             screens.coverage_days(keys, minutes, **options.coverage), screens.language_days(langs), previous,
         )
         flagged = store.scratch("flagged", flagged, seq)
-        store.write("history", finalize.history_of(flagged), seq)
+        store.write("history", finalize.history_of(flagged).orderBy("uid", "change_date"), seq, options.groups[1])
         iso = places(cells.select("cell").distinct()) if places else spark.createDataFrame([], "cell long, iso string")
         store.write("suspects", finalize.suspects(flagged, finalize.countries_of_days(cells, iso, flagged.where("suspect_flag <> 0"))), seq)
         store.commit()
@@ -327,9 +328,10 @@ def _publish(store: Store, options: Options) -> None:
     spark, out, seq = store.spark, options.output, store.ledger.applied("history")
     path = f"{out}/manifest.json"
     source = options.source | {"sequence_number": seq}
-    if fs.exists(spark, path) and files.manifest_source(fs.read_text(spark, path)).get("sequence_number") == seq and fs.exists(spark, f"{out}/suspect.atom"):
+    if fs.exists(spark, path) and files.manifest_source(fs.read_text(spark, path)).get("sequence_number") == seq and fs.exists(spark, f"{out}/suspect.atom") == store.ledger.known("suspects"):
         return
-    publish.feed(store.read("suspects", schemas.SUSPECTS), f"{out}/suspect.atom")
+    if store.ledger.known("suspects"):  # an import has none
+        publish.feed(store.read("suspects", schemas.SUSPECTS), f"{out}/suspect.atom")
     got = store.read("centres", CENTRES).agg(F.sum("lat").alias("lat"), F.sum("lon").alias("lon"), F.sum("count").alias("n"), F.min("first_day").alias("a"), F.max("last_day").alias("z")).first()
     years = {y: publish.files_of(spark, f) for y, f in store.folders("cube", "year").items()}
     singles = {name: publish.files_of(spark, store.path(name)) for name in ("history", "ranking", "suspects")}

@@ -48,7 +48,7 @@ def test_import_and_updates(spark, tmp_path):
     assert cube_of(spark, out) == first
     store = runner.Store(spark, out)
     assert {r.uid: (r["count"], r.suspect_flag) for r in store.read("history", schemas.HISTORY).where("change_date = 18262").collect()} == {10: (2, 0)}
-    assert alive_nodes(spark, out) == [(1, a)] and "<entry>" not in open(f"{out}/suspect.atom").read()
+    assert alive_nodes(spark, out) == [(1, a)] and not os.path.exists(f"{out}/suspect.atom")
 
     osc(diffs, 101, '<modify><node id="1" version="2" timestamp="2024-01-01T00:00:30Z" uid="12" user="carol" lat="1.5" lon="1.0"/><way id="5" version="2" timestamp="2024-01-01T00:01:00Z" uid="12" user="carol"><nd ref="1"/><tag k="name" v="Main"/></way></modify>')
     osc(diffs, 102, '<delete><node id="1" version="3" timestamp="2024-01-01T02:00:00Z" uid="13" user="dan"/></delete><create><node id="8" version="1" timestamp="2024-01-01T02:00:30Z" uid="13" user="dan" lat="2" lon="2"/></create>')
@@ -131,8 +131,8 @@ def test_a_stop_and_a_rerun_count_once(spark, imported, tmp_path, monkeypatch, w
         else:
             for kind in ("write", "write_parts"):
 
-                def stop(self, name, *a, _f=getattr(runner.Store, kind)):
-                    got = _f(self, name, *a)
+                def stop(self, name, *a, _f=getattr(runner.Store, kind), **k):
+                    got = _f(self, name, *a, **k)
                     if name == where:
                         raise Stopped
                     return got
@@ -201,6 +201,6 @@ def test_command_line(capsys):
     got = cli.parse(["update", "5", "--diffs", "d", "--output-dir", "o"])
     assert (got.count, got.diffs, got.output_dir, got.h3_resolution) == (5, "d", "o", 9)
     assert cli.main(["help"]) == 0 and "prepare-update" in capsys.readouterr().out
-    for bad in (["update", "0", "--diffs", "d"], ["prepare-update"], ["import"], ["import", "x", "--h3-resolution", "15"], ["else"]):
+    for bad in (["update", "0", "--diffs", "d"], ["prepare-update"], ["import"], ["import", "x", "--h3-resolution", "15"], ["else"], ["import", "x", "--change-group-rows", "999"], ["update", "--diffs", "d", "--cookie", "c"], ["update", "--country-names", "n"]):
         with pytest.raises(SystemExit):
             cli.parse(bad)
