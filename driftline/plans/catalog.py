@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.functions import geo, names, text, time
+from driftline.functions import geo, hexgrid, names, text, time
 from driftline.operators import activity, cube, edits, explore, finalize, screens
 from driftline.plans import bindings as b
 from driftline.schemas import ASPECTS, COUNTERS, TAG_COUNTERS, TAG_KEYS
@@ -444,9 +444,9 @@ def country_lookup(s, d):
     return finalize.interval_join(parts, spans, "part", "lo", "hi", ["iso"], 32).select("part", "iso")
 
 
-@query(None)
+@query("SELECT cell, CASE WHEN cell % 3 <> 0 THEN CASE cell % 5 WHEN 1 THEN 'AA' WHEN 2 THEN 'BB' WHEN 3 THEN 'CC' WHEN 4 THEN 'DD' END END AS iso FROM centres", b.CENTRES)
 def country_of_points(s, d):
-    """Points of suppliers by the cube-face grid: an index of ancestors at two levels, joined back."""
+    """Points of suppliers by the cube-face grid: an index of ancestors at two levels, joined back. Places are degrees apart, so each finds its own cell and no other."""
     pts = b.centres(s, d).withColumn("leaf", geo.s2_leaf_of("lat", "lon"))
     index = pts.where("cell % 3 <> 0").select(F.when(F.col("cell") % 2 == 0, geo.s2_ancestor(F.col("leaf"), 10)).otherwise(geo.s2_ancestor(F.col("leaf"), 13)).alias("s2_cell"), (F.col("cell") % 5).cast("int").alias("country_id")).dropDuplicates(["s2_cell"])
     names_ = s.createDataFrame([(0, None), (1, "AA"), (2, "BB"), (3, "CC"), (4, "DD")], "country_id int, iso string")
@@ -682,12 +682,30 @@ def last_name_tags(s, d):
 @query(None)
 def hex_cells(s, d):
     """Cells and their centres of suppliers' places at resolution 9."""
-    from driftline.functions import hexgrid
-
     pts = b.centres(s, d).select(F.col("cell").alias("supplier"), "lat", "lon").withColumn("cell", hexgrid.cell_of("lat", "lon", F.lit(9)))
     return pts.withColumn("c", hexgrid.centre_of("cell")).select("supplier", "cell", F.round("c.lat", 6).alias("lat"), F.round("c.lon", 6).alias("lon"))
 
 
+_NEAR = "lat BETWEEN -12 AND 12 AND lon BETWEEN -20 AND 20"
+
+
+@query("SELECT cell AS supplier, 9 AS resolution, true AS centre_is_inside, true AS centre_is_near, true AS packs FROM centres WHERE abs(lat) < 90", b.CENTRES)
+def hex_properties(s, d):
+    """What must hold for the cell of any place: its resolution, a centre that lies in it and within a hexagon's reach, and a packed form that comes back."""
+    pts = b.centres(s, d).where("abs(lat) < 90").withColumn("hex", hexgrid.cell_of("lat", "lon", F.lit(9))).withColumn("c", hexgrid.centre_of("hex"))
+    again, meters = hexgrid.cell_of("c.lat", "c.lon", F.lit(9)), geo.haversine_m(F.col("lat"), F.col("lon"), F.col("c.lat"), F.col("c.lon"))
+    packs = geo.unpack_cell(geo.pack_cell(F.col("hex")), 9) == F.col("hex")
+    return pts.select(F.col("cell").alias("supplier"), F.shiftright("hex", 52).bitwiseAND(15).cast("int").alias("resolution"), (again == F.col("hex")).alias("centre_is_inside"), (meters < 260).alias("centre_is_near"), packs.alias("packs"))
+
+
+@query(f"SELECT cell AS supplier, ({_NEAR}) AS inside FROM centres WHERE ({_NEAR}) OR abs(lat) > 25", b.CENTRES)
+def box_cell_cover(s, d):
+    """The cells of a box hold every place in it and none far from it."""
+    cells = s.createDataFrame([(c,) for c in hexgrid.box_cells(-20.0, -12.0, 20.0, 12.0, 2)], "hex long")
+    pts = b.centres(s, d).where(f"({_NEAR}) or abs(lat) > 25").withColumn("hex", hexgrid.cell_of("lat", "lon", F.lit(2)))
+    return pts.join(cells.withColumn("inside", F.lit(True)), "hex", "left").select(F.col("cell").alias("supplier"), F.coalesce("inside", F.lit(False)).alias("inside"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(Q)
 
