@@ -86,6 +86,11 @@ def digest(chunk: str) -> bytes:
     return xxhash.xxh3_128_digest(chunk.encode("utf-8", "surrogatepass"))
 
 
+def id_type(coder: bpe.Bpe) -> str:
+    """Two bytes an id where the vocabulary allows."""
+    return "<u2" if len(coder.names) <= 1 << 16 else "<u4"
+
+
 def bit(d: bytes) -> int:
     """The place of a digest in the table of bits: Spark's xxhash64 modulo BITS."""
     return xxhash.xxh64_intdigest(d, 42) % BITS
@@ -129,7 +134,7 @@ class ChunkCoder:
         """Ids of a chunk: those that came with the document, else those of its last encoding here."""
         if self.given and (ready := self.given.get(digest(text))) is not None:
             self.hits += 1
-            return np.frombuffer(ready, "<i4").tolist()
+            return np.frombuffer(ready, id_type(self.bpe)).tolist()
         ids = self.cache.get(text)
         if ids is not None:
             self.hits += 1
@@ -233,7 +238,7 @@ def shared_ids(src: DataFrame, path: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe.load(path)
         for b in common.by_bytes(batches, "chunk", 4 << 20):
-            ids = [np.array(coder.encode(c), "<i4").tobytes() for c in b.column(1).to_pylist()]
+            ids = [np.array(coder.encode(c), id_type(coder)).tobytes() for c in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["digest", "ids"])
 
     once = src.select("text").mapInArrow(gather, "digest binary, chunk string").groupBy("digest").agg(F.first("chunk").alias("chunk"))
