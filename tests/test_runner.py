@@ -117,7 +117,7 @@ def imported(spark, tmp_path_factory):
     return root, want
 
 
-@pytest.mark.parametrize("where,newer", [("cube", True), ("keys", False), ("suspects", True), ("commit", False), ("commit", True), ("publish", False)])
+@pytest.mark.parametrize("where,newer", [("cube", True), ("suspects", False), ("commit", True), ("publish", False)])
 def test_a_stop_and_a_rerun_count_once(spark, imported, tmp_path, monkeypatch, where, newer):
     root, want = imported
     out = str(tmp_path / "out")
@@ -149,7 +149,7 @@ def test_updates_one_by_one_equal_one(spark, imported, tmp_path, monkeypatch):
     """State beside the base carries over, and is folded in when it has grown; each diff is a batch of its own."""
     root, _ = imported
     states = []
-    for most, compact in ((None, True), (1, True), (1, False)):
+    for most, compact in ((None, True), (1, False)):
         monkeypatch.setattr(runner.incremental, "compaction_due", lambda *_, _c=compact: _c)
         out = str(tmp_path / f"out{most}{compact}")
         shutil.copytree(root / "base", out)
@@ -158,7 +158,7 @@ def test_updates_one_by_one_equal_one(spark, imported, tmp_path, monkeypatch):
             runner.run_update(spark, files.change_documents(spark, str(root / "to103")), options, most=most)
         states.append({k: v for k, v in state_of(spark, out).items() if k not in ("suspects", "history")})  # flags are judged at each update
         assert (runner.Store(spark, out).ledger.applied("nodes") > 100) == compact
-    assert states[0] == states[1] == states[2]
+    assert states[0] == states[1]
 
 
 def test_a_lost_table_is_an_error(spark, imported, tmp_path):
