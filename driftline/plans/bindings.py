@@ -103,11 +103,11 @@ FAR = 5_000_000.0
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """object versions with name tags (type, id, version, visible, uid, day, tags) from documents: a source is an object, each document a version."""
     text = F.coalesce("text", F.lit(""))
-    first, last = F.regexp_extract(text, r"^[\x20\t-\r]*([^\x20\t-\r]+)", 1), F.regexp_extract(text, r"([^\x20\t-\r]+)[\x20\t-\r]*\z", 1)
+    first, second = F.regexp_extract(text, r"^[\x20\t-\r]*([^\x20\t-\r]+)", 1), F.regexp_extract(text, r"^[\x20\t-\r]*[^\x20\t-\r]+[\x20\t-\r]+([^\x20\t-\r]+)", 1)
     tag = lambda k, v: F.struct(k.alias("k"), v.alias("v"))
     n = F.col("doc_id")
     name = tag(F.lit("name"), first)
-    own = tag(F.concat(F.lit("name:"), F.col("lang")), F.when(n % 5 == 0, first).otherwise(last))
+    own = tag(F.concat(F.lit("name:"), F.col("lang")), F.when(n % 5 == 0, first).otherwise(second))
     wiki = tag(F.concat(F.lit("wikipedia:"), F.col("lang")), (n % 3).cast("string"))
     tags = F.when(n % 7 == 0, F.array(own, wiki)).when(n % 4 == 0, F.array(name, own)).otherwise(F.array(name, own, wiki))
     return table(spark, sf_dir, "documents").select(F.lit("node").alias("type"), F.col("source").alias("id"), (n + 1).alias("version"), (n % 13 != 0).alias("visible"), (n % 20).alias("uid"), (n % 30).cast("int").alias("day"), tags.alias("tags"))
@@ -116,7 +116,7 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 TAGGED = r"""tagged AS (
   SELECT source AS id, doc_id + 1 AS version, doc_id % 13 <> 0 AS visible, doc_id % 20 AS uid, CAST(doc_id % 30 AS INTEGER) AS day, lang,
     CASE WHEN doc_id % 7 = 0 THEN NULL ELSE w0 END AS name, CASE WHEN doc_id % 5 = 0 THEN w0 ELSE w1 END AS own, CASE WHEN doc_id % 4 = 0 AND doc_id % 7 <> 0 THEN NULL ELSE CAST(doc_id % 3 AS VARCHAR) END AS wiki
-  FROM (SELECT *, regexp_extract(coalesce(text, ''), '^[\x20\t-\r]*([^\x20\t-\r]+)', 1) AS w0, regexp_extract(coalesce(text, ''), '([^\x20\t-\r]+)[\x20\t-\r]*\z', 1) AS w1 FROM documents)),
+  FROM (SELECT *, regexp_extract(coalesce(text, ''), '^[\x20\t-\r]*([^\x20\t-\r]+)', 1) AS w0, regexp_extract(coalesce(text, ''), '^[\x20\t-\r]*[^\x20\t-\r]+[\x20\t-\r]+([^\x20\t-\r]+)', 1) AS w1 FROM documents)),
 before AS (
   SELECT *, lag(visible) OVER w AS pvis, lag(lang) OVER w AS plang, lag(name) OVER w AS pname, lag(own) OVER w AS pown, lag(wiki) OVER w AS pwiki FROM tagged WINDOW w AS (PARTITION BY id ORDER BY version)),
 events_ AS (
