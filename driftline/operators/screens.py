@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,10 +86,11 @@ def coverage_days(keys: DataFrame, minutes: DataFrame, **limits) -> DataFrame:
     return got.withColumn("flag", F.lit(text.COVERAGE))
 
 
-def language_events(versions: DataFrame, prior: DataFrame | None = None) -> DataFrame:
+def language_events(versions: DataFrame, prior: DataFrame | None = None, form: Callable[[Column], Column] = names.as_bytes) -> DataFrame:
     """uid, day, event, lang of each version whose name tags look misused. versions: type, id, version, visible, uid, day, tags.
 
     What a version is held against are the object's remembered tags: of the version before, or of ``prior`` (type, id, tags); a deletion clears them.
+    Typos are told by the edit distance of what ``form`` makes of two names, their bytes.
     """
     empty = F.array().cast("array<struct<k:string,v:string>>")
     w = Window.partitionBy("type", "id").orderBy("version")
@@ -96,7 +99,7 @@ def language_events(versions: DataFrame, prior: DataFrame | None = None) -> Data
     if prior is not None:
         rows = rows.join(prior.select("type", "id", F.col("tags").alias("_p")), ["type", "id"], "left").withColumn("_prev", F.coalesce("_prev", "_p"))
     rows = rows.withColumn("_prev", F.coalesce("_prev", empty)).where(F.col("visible") & (F.col("version") > 1))
-    return rows.withColumn("_e", names.language_event(F.col("_prev"), F.col("tags"))).where("_e is not null").select("uid", "day", "_e.event", "_e.lang")
+    return rows.withColumn("_e", names.language_event(F.col("_prev"), F.col("tags"), form)).where("_e is not null").select("uid", "day", "_e.event", "_e.lang")
 
 
 def last_tags(versions: DataFrame) -> DataFrame:

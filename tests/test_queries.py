@@ -50,3 +50,22 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.fixture(scope="module")
+def typos(tmp_path_factory):
+    """The tables with names of objects that swing between two that are two bytes apart, one of them with a byte that SQL writes out."""
+    d = tmp_path_factory.mktemp("typos")
+    for p in glob.glob("/root/testdata/sf0.001/*.parquet"):
+        os.symlink(p, d / os.path.basename(p))
+    (d / "documents.parquet").unlink()
+    duckdb.sql(f"COPY (SELECT i AS doc_id, ['Enü den', 'Enbe den', 'a\"b x', 'acb x'][i // 20 % 4 + 1] AS text, 'de' AS lang, 'src' || i % 20 AS source, CAST(7 AS BIGINT) AS n_chars FROM range(1200) t(i)) TO '{d}/documents.parquet'")
+    con = duckdb.connect()
+    for p in d.iterdir():
+        con.execute(f"CREATE VIEW {p.name[:-8]} AS SELECT * FROM '{p}'")
+    return str(d), con
+
+
+@pytest.mark.parametrize("name", ["feed_entries"])
+def test_typos_are_told_as_in_sql(spark, typos, name):
+    test_same_rows(spark, typos[1], typos[0], name)
