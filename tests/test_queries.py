@@ -66,6 +66,6 @@ def typos(tmp_path_factory):
     return str(d), con
 
 
-@pytest.mark.parametrize("name", ["feed_entries", "suspect_export", "lang_days", "language_counts"])
+@pytest.mark.parametrize("name", ["feed_entries", "suspect_export", "lang_days", "language_counts", "latest_suspects"])
 def test_typos_are_told_as_in_sql(spark, typos, name):
     test_same_rows(spark, typos[1], typos[0], name)
