@@ -320,3 +320,23 @@ def test_against_sql(spark, sf, name):
     cols = [c[0] for c in want.description]
     key = lambda rows, names: sorted(tuple(str(r[names.index(c)]) for c in sorted(names)) for r in rows)
     assert key([tuple(r) for r in got.collect()], got.columns) == key(want.fetchall(), cols)
+
+
+def test_every_label_counts(spark):
+    """Of 9,000 labelled texts, those after the first 6,000 in order of a hash have a word of their own that decides."""
+    from pyspark.sql import functions as F
+
+    rank = {r.doc_id: k for k, r in enumerate(spark.range(9_000).withColumnRenamed("id", "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").collect())}
+    r = random.Random(9)
+    rows = [(i, int(r.random() < 0.2)) for i in range(9_000)]
+    text = lambda i, y: " ".join([f"n{r.randrange(200)}" for _ in range(4)] + y * ["early" if rank[i] < 6_000 else "later"])
+    docs = spark.createDataFrame([(i, text(i, y)) for i, y in rows], "doc_id long, text string")
+    net = toxicity.train(docs, spark.createDataFrame(rows, "doc_id long, toxic int"))
+    new = spark.createDataFrame([(0, "n1 n2 n3 later"), (1, "n1 n2 n3 early"), (2, "n1 n2 n3 n4")], "doc_id long, text string")
+    assert [r.score >= 0.5 for r in toxicity.score(new, net).orderBy("doc_id").collect()] == [True, True, False]
+
+
+def test_training_does_not_depend_on_partitions(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    one, other = (toxicity.train(docs.repartition(k), labels, shard=20, rounds=2) for k in (1, 7))
+    assert (one.flat() == other.flat()).all() and (one.shift == other.shift).all()
