@@ -81,8 +81,9 @@ def coverage_minutes(keys: DataFrame, minutes: DataFrame, objects: int = COVER_O
 
 
 def coverage_days(keys: DataFrame, minutes: DataFrame, **limits) -> DataFrame:
-    """uid, day, changed_keys (sorted), flag."""
-    got = coverage_minutes(keys, minutes, **limits).groupBy("uid", time.day_of_minute().alias("day")).agg(F.array_sort(F.collect_set("key")).alias("changed_keys"))
+    """uid, day, changed_keys (sorted, an unknown key last), flag."""
+    found = F.array_sort(F.transform(F.collect_set(F.struct("key")), lambda x: x["key"]))
+    got = coverage_minutes(keys, minutes, **limits).groupBy("uid", time.day_of_minute().alias("day")).agg(found.alias("changed_keys"))
     return got.withColumn("flag", F.lit(text.COVERAGE))
 
 

@@ -79,11 +79,11 @@ VERSIONS = """versions AS (
 
 
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """node moves (uid, minute, visible, version, lat, lon, lat0, lon0) from events: an object a user, in order of time."""
+    """node moves (uid, minute, visible, version, lat, lon, lat0, lon0) from events: an object a user, in order of time, those without one last."""
     from pyspark.sql import Window
 
     at = edits(spark, sf_dir).select("uid", "minute", "secs", "id", "visible", "version", F.when(F.col("visible"), F.col("value") / 10).alias("lat"), F.when(F.col("visible"), F.col("k").cast("double")).alias("lon"))
-    w = Window.partitionBy("uid").orderBy("secs", "id").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("uid").orderBy(F.asc_nulls_last("secs"), F.asc_nulls_last("id")).rowsBetween(Window.unboundedPreceding, -1)
     return at.select("*", F.last("lat", ignorenulls=True).over(w).alias("lat0"), F.last("lon", ignorenulls=True).over(w).alias("lon0"))
 
 

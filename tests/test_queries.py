@@ -69,3 +69,31 @@ def typos(tmp_path_factory):
 @pytest.mark.parametrize("name", ["feed_entries", "suspect_export", "lang_days", "language_counts", "latest_suspects"])
 def test_typos_are_told_as_in_sql(spark, typos, name):
     test_same_rows(spark, typos[1], typos[0], name)
+
+
+def odd_tables(d, name, rows):
+    """The tables with another ``name``, and a DuckDB connection that has them."""
+    for p in glob.glob("/root/testdata/sf0.001/*.parquet"):
+        os.symlink(p, d / os.path.basename(p))
+    (d / f"{name}.parquet").unlink()
+    con = duckdb.connect()
+    con.execute(f"COPY ({rows}) TO '{d}/{name}.parquet'")
+    for p in d.iterdir():
+        con.execute(f"CREATE VIEW {p.name[:-8]} AS SELECT * FROM '{p}'")
+    return str(d), con
+
+
+@pytest.fixture(scope="module")
+def unknown(tmp_path_factory):
+    """Events of which some have no time, no type or no user."""
+    return odd_tables(
+        tmp_path_factory.mktemp("unknown"),
+        "events",
+        """SELECT i AS event_id, CASE WHEN i % 11 <> 0 THEN TIMESTAMP '2024-01-10' + to_seconds(i * 97) END AS ts, CASE WHEN i % 29 <> 0 THEN i % 24 END AS user_id,
+  CASE WHEN i % 24 % 5 <> 0 THEN ['click', 'view', 'error'][i % 3 + 1] END AS event_type, i * 37 % 700 / 1.0 AS value, '{"k": ' || i * 53 % 170 || '}' AS props FROM range(3000) t(i)""",
+    )
+
+
+@pytest.mark.parametrize("name", ["suspect_export", "move_days", "coverage_days"])
+def test_unknown_times_and_types_as_in_sql(spark, unknown, name):
+    test_same_rows(spark, unknown[1], unknown[0], name)
