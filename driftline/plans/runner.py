@@ -297,7 +297,7 @@ def _tag_state(store: Store, rows: DataFrame, options: Options, seq: int, fold)
     here = store.scratch("objects", rows.select(*key).distinct(), seq)
     prior = store.scratch("prior_tags", base.join(touched, key, "left_anti").unionByName(over).join(here, key, "left_semi"), seq)
     ordered = rows.withColumn("_v", F.row_number().over(Window.partitionBy("type", "id").orderBy("ord")))
-    found = screens.language_events(ordered.withColumn("version", F.when(F.col("version") == 1, 1).otherwise(F.col("_v") + 1)), prior)
+    found = screens.language_events(ordered.withColumn("version", F.when(F.col("version") == 1, 1).otherwise(F.col("_v") + 1)), prior).where("lang <> ''")
     langs = fold("langs", screens.language_counts(found).withColumn("span", _span(F.col("day"))), ["uid", "day", "lang"])
     over = over.join(here, key, "left_anti").unionByName(screens.last_tags(rows.withColumn("version", F.col("ord"))))
     touched = touched.unionByName(here).distinct()

@@ -97,3 +97,19 @@ def unknown(tmp_path_factory):
 @pytest.mark.parametrize("name", ["suspect_export", "move_days", "coverage_days"])
 def test_unknown_times_and_types_as_in_sql(spark, unknown, name):
     test_same_rows(spark, unknown[1], unknown[0], name)
+
+
+@pytest.fixture(scope="module")
+def languages(tmp_path_factory):
+    """Documents whose languages are empty or of two lines."""
+    return odd_tables(
+        tmp_path_factory.mktemp("languages"),
+        "documents",
+        """SELECT i AS doc_id, ['Ulm am', 'Ulm Ulm', 'Rom am', 'Paris Rom'][i * i // 20 % 4 + 1] AS text, ['', 'de', 'de', 'a' || chr(10) || 'b', 'de'][i // 40 % 5 + 1] AS lang, 'src' || i % 20 AS source, CAST(7 AS BIGINT) AS n_chars
+FROM range(1200) t(i)""",
+    )
+
+
+@pytest.mark.parametrize("name", ["lang_days"])
+def test_any_language_counts_as_in_sql(spark, languages, name):
+    test_same_rows(spark, languages[1], languages[0], name)
