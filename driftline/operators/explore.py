@@ -89,7 +89,7 @@ def total_edits(ranking: DataFrame) -> DataFrame:
 
 
 def latest(suspects: DataFrame, n: int = 100) -> DataFrame:
-    return suspects.orderBy(F.desc("change_date"), "uid").limit(n)
+    return suspects.orderBy(F.desc("change_date"), F.asc_nulls_last("uid")).limit(n)
 
 
 def filtered(suspects: DataFrame, *, date: str = "", country: str = "", user: str = "", keys: str = "", uid: str = "", least: dict[str, float] | None = None, ranking: tuple[float | None, float | None] = (None, None)) -> DataFrame:

@@ -129,3 +129,12 @@ FROM range(1200) t(i)""",
 @pytest.mark.parametrize("name", ["language_counts"])
 def test_no_language_as_in_sql(spark, no_languages, name):
     test_same_rows(spark, no_languages[1], no_languages[0], name)
+
+
+def test_latest_without_user_come_in_the_order_of_sql(spark, unknown):
+    got = catalog.queries()["latest_suspects"](spark, unknown[0])
+    want = unknown[1].execute(catalog.oracle_sql()["latest_suspects"])
+    cols = [c[0] for c in want.description]
+    found = want.fetchall()
+    assert any(r[cols.index("uid")] is None for r in found)
+    assert [[plain(r[c]) for c in cols] for r in got.collect()] == [[plain(v) for v in r] for r in found]
